@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_of_id
+from .common import crc_of_id, small_batches
 
 #: Length of a profile, and of a document's own list.
 PROFILE_SIZE = 400
+#: N-grams that a worker holds before it counts them and passes the counts on.
+COUNT_AT = 6_000_000
 #: Parts into which one language's counts are split for the first of two top-k rounds.
 TOP_SPLIT = 32
 
@@ -80,11 +82,19 @@ def learn_profiles(docs: DataFrame, size: int = PROFILE_SIZE) -> dict[str, list[
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             by_lang: dict[str, list[np.ndarray]] = {}
+            held = 0
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 by_lang.setdefault(lang, []).append(ngram_codes(text))
-            for lang, codes in by_lang.items():
-                c, n = np.unique(np.concatenate(codes), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(c), pa.array(n.astype(np.int64))], ["lang", "code", "n"])
+                held += len(by_lang[lang][-1])
+                if held > COUNT_AT:
+                    yield from counted(by_lang)
+                    by_lang, held = {}, 0
+            yield from counted(by_lang)
+
+    def counted(by_lang: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for lang, codes in by_lang.items():
+            c, n = np.unique(np.concatenate(codes), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(c), pa.array(n.astype(np.int64))], ["lang", "code", "n"])
 
     counts = (
         docs.select("text", "lang").where("lang is not null and text is not null")
@@ -143,6 +153,7 @@ def predict_languages(docs: DataFrame, profiles: dict[str, list[int]], keep: lis
 def language_id(docs: DataFrame, folds: int = 4, held_fold: int = 2) -> DataFrame:
     """Learn from all documents outside the held fold, predict every document."""
     held = (crc_of_id() % folds == held_fold).alias("held_out")
+    small_batches(docs.sparkSession)
     profiles = learn_profiles(docs.where(~(crc_of_id() % folds == held_fold)))
     marked = docs.select("doc_id", "text", held)
     return predict_languages(marked, profiles, ["doc_id", "held_out"])
@@ -154,6 +165,7 @@ MIN_SCORE = 0.05
 
 def language_stage(docs: DataFrame) -> DataFrame:
     """Documents whose language is known, with all their columns; the others go."""
+    small_batches(docs.sparkSession)
     profiles = learn_profiles(docs.where(~(crc_of_id() % 4 == 2)))
     names = docs.columns
     found = predict_languages(docs, profiles, names)
