@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid
+from . import langid, packing, sstable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +15,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(_table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op9_sstable_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sstable.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {"op1_language_id": op1_language_id}
+    return {f.__name__: f for f in (op1_language_id, op6_best_fit_packing, op9_sstable_output)}
 
 
 def oracle_sql() -> dict[str, str]:
