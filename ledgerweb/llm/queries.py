@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, sstable, substring
+from . import langid, minhash, packing, sstable, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.drop_repeats(_table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -28,7 +32,7 @@ def op9_sstable_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language_id, op4_substring_dedup, op6_best_fit_packing, op9_sstable_output)}
+    return {f.__name__: f for f in (op1_language_id, op4_substring_dedup, op5_minhash_near_dedup, op6_best_fit_packing, op9_sstable_output)}
 
 
 def oracle_sql() -> dict[str, str]:
