@@ -64,9 +64,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def folded_words(text: str | None) -> list[bytes]:
+    return [w.encode() for w in _word.findall(text.lower())] if text else []
+
+
 def kmers(text: str | None) -> tuple[int | None, np.ndarray]:
     """A hash of the folded text (None without words) and its k-mers' hashes in text order."""
-    words = [w.encode() for w in _word.findall(text.lower())] if text else []
+    words = folded_words(text)
     if not words:
         return None, np.empty(0, np.uint64)
     hashes = word_hashes(words)

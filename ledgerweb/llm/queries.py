@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, minhash, packing, sstable, substring
+from . import langid, minhash, packing, simhash, sstable, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,8 +31,12 @@ def op9_sstable_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.document_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language_id, op4_substring_dedup, op5_minhash_near_dedup, op6_best_fit_packing, op9_sstable_output)}
+    return {f.__name__: f for f in (op1_language_id, op4_substring_dedup, op5_minhash_near_dedup, op6_best_fit_packing, op9_sstable_output, op10_document_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
