@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, minhash, packing, simhash, sstable, substring
+from . import chat, langid, minhash, packing, simhash, sstable, substring
+
+from .oracles import ORACLES
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +17,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(_table(spark, sf_dir, "documents"))
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.format_conversations(rows.unionByName(extra))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.drop_repeats(_table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -36,8 +45,8 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language_id, op4_substring_dedup, op5_minhash_near_dedup, op6_best_fit_packing, op9_sstable_output, op10_document_fingerprints)}
+    return {f.__name__: f for f in (op1_language_id, op2_chat_formatting, op4_substring_dedup, op5_minhash_near_dedup, op6_best_fit_packing, op9_sstable_output, op10_document_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
