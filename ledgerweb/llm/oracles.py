@@ -26,3 +26,23 @@ SELECT conv_id, n_turns, sha256(everything) AS turns_sha256, length(learned) AS
 FROM joined
 """,
 }
+
+ORACLES["op8_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), u AS (
+    SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS e FROM v
+), links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.vec_id <> y.vec_id AND list_dot_product(x.e, y.e) >= 0.9
+), reach(node, other) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other
+), degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT r.node AS vec_id, coalesce(max(d.n), 0)::BIGINT AS n_links, min(r.other) AS component_id,
+    r.node = min(r.other) AS kept
+FROM reach r LEFT JOIN degree d ON d.a = r.node GROUP BY r.node
+"""

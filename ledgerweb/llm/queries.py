@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, langid, minhash, packing, simhash, sstable, substring
-
+from . import chat, langid, minhash, packing, projections, simhash, sstable, substring
 from .oracles import ORACLES
 
 
@@ -36,6 +35,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_sstable_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -45,7 +48,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language_id, op2_chat_formatting, op4_substring_dedup, op5_minhash_near_dedup, op6_best_fit_packing, op9_sstable_output, op10_document_fingerprints)}
+    return {f.__name__: f for f in (op1_language_id, op2_chat_formatting, op4_substring_dedup, op5_minhash_near_dedup, op6_best_fit_packing, op8_embedding_near_dedup, op9_sstable_output, op10_document_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
