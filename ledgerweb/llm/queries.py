@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, langid, minhash, packing, projections, simhash, sstable, substring
+from . import chat, langid, minhash, mixing, packing, projections, quality, simhash, sstable, substring
 from .oracles import ORACLES
 
 
@@ -23,6 +23,10 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(rows.unionByName(extra))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"), mixing.domains_of(_table(spark, sf_dir, "labels")))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.drop_repeats(_table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -35,6 +39,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -48,7 +56,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language_id, op2_chat_formatting, op4_substring_dedup, op5_minhash_near_dedup, op6_best_fit_packing, op8_embedding_near_dedup, op9_sstable_output, op10_document_fingerprints)}
+    return {f.__name__: f for f in (op1_language_id, op2_chat_formatting, op3_mixing, op4_substring_dedup, op5_minhash_near_dedup, op6_best_fit_packing, op7_quality_rules, op8_embedding_near_dedup, op9_sstable_output, op10_document_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
