@@ -14,8 +14,10 @@ band.
 Equal texts (after folding) are one node, so copies cost one row each.  Within a bucket every
 text is first compared with one leader.  Links make components, and only texts of one bucket
 that are in different components then are compared with each other: a bucket full of copies of
-one text costs as many comparisons as it has texts.  Before a comparison, 512 one-bit minhashes
-of both must be as close as those of a pair at 0.8 are but once in about 30,000.
+one text costs as many comparisons as it has texts.  Small buckets become pairs; large ones are
+cut into parts, and a task compares two parts and gives back links, never pairs.  Before a
+comparison, 512 one-bit minhashes of both must be as close as those of a pair at 0.8 are but
+once in about 30,000.
 
 Defined results
 * null text, or no word: never a duplicate
@@ -49,6 +51,9 @@ TAKEN = 3
 BITS = 512
 MAY_DIFFER = int(BITS * (1 - SIMILARITY) / 2 + 4 * (BITS * (1 + SIMILARITY) / 2 * (1 - SIMILARITY) / 2) ** 0.5)
 
+#: Buckets of more texts than this are cut into parts of about ``PART`` texts.
+SMALL, PART = 32, 256
+
 _word = re.compile(r"\w+")
 _rng = np.random.default_rng(20240229)
 _seeds = _rng.integers(1, 1 << 63, SKETCHES, dtype=np.uint64)
@@ -151,6 +156,44 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return aligned / (n - aligned)
 
 
+def _meeting(table: pa.Table) -> pa.Table:
+    """Links between the texts of two parts of a bucket that no component joins yet.
+
+    A pair that an earlier sketch has in common belongs to that sketch's bucket.
+    """
+    node, component, part = (table.column(c).to_numpy() for c in ("node", "component", "part"))
+    keys = np.array(table.column("keys").to_pylist(), np.int64)
+    bits = np.array(table.column("bits").to_pylist(), np.int64)
+    codes = [np.frombuffer(c, "<u4") for c in table.column("codes").to_pylist()]
+    slot = int(np.flatnonzero(keys[0] == table.column("key")[0].as_py())[0])
+    lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+    size = np.array([len(c) for c in codes])
+    left, right = np.flatnonzero(part == lo), np.flatnonzero(part == hi)
+    apart = np.array(component)
+    unique = [labelled(codes[j].astype(np.uint64)) for j in right]
+    joined = np.concatenate(unique) if unique else np.empty(0, np.uint64)
+    starts = np.concatenate([[0], np.cumsum(size[right])])
+    links = []
+    for i in left.tolist():
+        may = (apart[right] != apart[i]) & (size[right] >= SIMILARITY * size[i]) & (size[i] >= SIMILARITY * size[right])
+        may &= ~(keys[right, :slot] == keys[i, :slot]).any(axis=1)
+        may &= np.bitwise_count(bits[right] ^ bits[i]).sum(axis=1) <= MAY_DIFFER
+        if lo == hi:
+            may &= right > i
+        if not may.any():
+            continue
+        own = np.sort(labelled(codes[i].astype(np.uint64)))
+        at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+        common = np.add.reduceat((own[at] == joined).astype(np.int64), starts[:-1])
+        both = size[right] + size[i]
+        may &= common >= SIMILARITY * (both - common)
+        for j in right[may].tolist():
+            if apart[i] != apart[j] and similarity(codes[i], codes[j]) >= SIMILARITY:
+                links.append((node[i], node[j]))
+                apart[apart == apart[j]] = apart[i]
+    return pa.table([pa.array([v[k] for v in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
 def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node) of every row of ``docs`` and the links (a, b) between different nodes."""
     small_batches(docs.sparkSession)
@@ -167,7 +210,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     rows = cut(docs.select("doc_id", "text").mapInArrow(sketches, f"doc_id {kind}, node long, keys array<long>"), "sketches")
     texts = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
-    buckets = texts.select("node", F.explode("keys").alias("key"))
+    buckets = texts.select("node", F.posexplode("keys").alias("slot", "key"))
     shared = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = cut(buckets.join(shared, "key"), "buckets")
     wanted = rows.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).withColumnRenamed("node", "wanted")
@@ -206,12 +249,21 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     linked = links(first)
     component = connected_components(linked)
     placed = members.join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    open_members = cut(placed.join(split, "key", "left_semi").join(brief, "node"), "open")
-    x, y = open_members.alias("x"), open_members.alias("y")
+    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size")
+    open_members = cut(placed.join(split, "key").join(brief, "node"), "open")
+    few = open_members.where(F.col("size") <= SMALL)
+    x, y = few.alias("x"), few.alias("y")
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & F.expr("x.component < y.component") & alike)
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    return rows.select("doc_id", "node"), linked.unionByName(links(rest))
+    rest = links(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+
+    # large buckets: every text goes to the meetings of its part with each part of the bucket
+    many = open_members.where(F.col("size") > SMALL).select("key", "node", "component", F.ceil(F.col("size") / PART).cast("int").alias("parts"))
+    many = many.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    many = many.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "node", "component")
+    full = codes.join(texts.select("node", "keys"), "node").select("node", "keys", "bits", "codes")
+    met = many.join(full, "node").groupBy("key", "lo", "hi").applyInArrow(_meeting, "a long, b long")
+    return rows.select("doc_id", "node"), linked.unionByName(rest).unionByName(cut(met, "links"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
