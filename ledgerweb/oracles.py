@@ -121,5 +121,108 @@ FROM s LEFT JOIN t USING (dst) WHERE round(score + 0.05 * coalesce(shared_tech,
 }
 
 
+_TIER = """CASE WHEN embedding_similarity IS NULL THEN 'medium'
+    WHEN embedding_similarity >= CASE rel_type WHEN 'HAS_COMPETITOR' THEN 0.35 WHEN 'HAS_PARTNER' THEN 0.5 ELSE 0.55 END THEN 'high'
+    WHEN embedding_similarity >= CASE rel_type WHEN 'HAS_COMPETITOR' THEN 0.25 ELSE 0.3 END THEN 'medium' ELSE 'low' END"""
+
+_SHARES = """, e AS (
+    SELECT src, dst, 1.0::DOUBLE / count(*) OVER (PARTITION BY src) AS share FROM has_competitor UNION ALL SELECT cik, cik, 0 FROM company
+)"""
+
+_CO = """, co AS (SELECT x.technology AS src, y.technology AS dst, count(*)::DOUBLE AS weight FROM uses x JOIN uses y USING (domain) WHERE x.technology <> y.technology GROUP BY 1, 2)"""
+
+_AFFINITY = _CO + """, deg AS (SELECT src, count(*) AS n FROM co GROUP BY 1), jac AS (
+    SELECT a, b, shared / (x.n + y.n - shared) AS score FROM (SELECT x.src AS a, y.src AS b, count(*) AS shared FROM co x JOIN co y ON x.dst = y.dst WHERE x.src < y.src GROUP BY 1, 2) JOIN deg x ON x.src = a JOIN deg y ON y.src = b
+), affinity AS (
+    SELECT src, dst, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY src ORDER BY round(score, 9) DESC, dst) AS r
+        FROM (SELECT a AS src, b AS dst, score FROM jac WHERE score >= 0.1 UNION ALL SELECT b, a, score FROM jac WHERE score >= 0.1)
+    ) WHERE r <= 50
+)"""
+
+
+def _adoption(targets: str, top: int) -> str:
+    return _CO + f""", rare AS (
+    SELECT technology FROM uses WHERE {targets} GROUP BY 1 HAVING count(*) <= 0.5 * (SELECT count(DISTINCT domain) FROM uses)
+), nodes AS (SELECT DISTINCT technology AS node FROM uses), share AS (
+    SELECT src, dst, weight / sum(weight) OVER (PARTITION BY src) AS share FROM co UNION ALL SELECT node, node, 0 FROM nodes
+), ppr(it, source, node, rank) AS (
+    SELECT 0, technology, node, CASE WHEN node = technology THEN 0.15::DOUBLE ELSE 0::DOUBLE END FROM rare, nodes
+    UNION ALL
+    SELECT it + 1, source, dst, CASE WHEN dst = source THEN 0.15::DOUBLE ELSE 0::DOUBLE END + 0.85 * sum(rank * share) FROM ppr JOIN share ON src = node WHERE it < 20 GROUP BY it, source, dst
+), scored AS (
+    SELECT source, domain, round(max(rank) * (1 + ln(count(*) + 1)), 6) AS score FROM ppr JOIN uses ON technology = node WHERE it = 20 GROUP BY 1, 2
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, domain) AS r FROM scored s WHERE NOT EXISTS (SELECT 1 FROM uses u WHERE u.domain = s.domain AND u.technology = s.source)
+)
+"""
+
+
+_STRIP = "regexp_replace(regexp_replace({0}, '^\\s+', ''), '\\s+$', '')"
+
+_CHUNKS = f""", base AS (SELECT doc_id, text, length(text) AS n, greatest(0, ceil((length(text) - 1000) / 800.0))::BIGINT AS k FROM documents WHERE text IS NOT NULL),
+starts AS (
+    SELECT doc_id, text, n, unnest(list_concat(list_transform(range(0, k + 1), lambda i: i * 800), CASE WHEN n - 200 > k * 800 THEN [n - 200] ELSE [] END)) AS s FROM base WHERE n >= 100
+), pieces AS (SELECT doc_id, s, {_STRIP.format("substr(text, s + 1, 1000)")} AS text FROM starts), chunks AS (
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS chunk_index, text FROM pieces WHERE length(text) >= 100
+    UNION ALL SELECT doc_id, 0, text FROM base WHERE n < 100
+)
+"""
+
+_VECTORS = ", v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), s AS (SELECT v.vec_id, round(list_cosine_similarity(v.e, q.e), 6) AS score FROM v, (SELECT e FROM v WHERE vec_id = 3) q)\n"
+
+OPERATORS = {
+    "gra01_pagerank": _SHARES + """, pr(it, node, rank) AS (
+    SELECT 0, cik, 0.15::DOUBLE FROM company
+    UNION ALL
+    SELECT it + 1, dst, 0.15 + 0.85 * sum(rank * share) FROM pr JOIN e ON src = node WHERE it < 20 GROUP BY it, dst
+)
+SELECT node, round(rank, 6) AS rank FROM pr WHERE it = 20""",
+    "gra03_degrees": f"SELECT cik AS node, i.n AS in_degree, o.n AS out_degree FROM company LEFT JOIN {_IN} i USING (cik) LEFT JOIN {_OUT} o USING (cik)",
+    "gra06_adoption": _adoption("technology LIKE 'Brand#1/%'", 20) + "SELECT domain, source AS technology, score FROM ranked WHERE r <= 20",
+    "joi16_typed_paths": """, f AS (SELECT src, dst, 'HAS_COMPETITOR' AS t FROM has_competitor UNION ALL SELECT src, dst, 'HAS_SUPPLIER' FROM has_supplier),
+u AS (SELECT src, dst, t, least(src, dst) || '|' || greatest(src, dst) || '|' || t AS id FROM f UNION ALL SELECT dst, src, t, least(src, dst) || '|' || greatest(src, dst) || '|' || t FROM f)
+SELECT node, hops, types, count(*) AS paths FROM (
+    SELECT dst AS node, 1::BIGINT AS hops, t AS types FROM u WHERE src = 7
+    UNION ALL SELECT y.dst, 2, x.t || '>' || y.t FROM u x JOIN u y ON x.dst = y.src AND x.id <> y.id WHERE x.src = 7
+) GROUP BY 1, 2, 3""",
+    "sim07_risk_pairs": "SELECT key1, key2, round(score, 6) AS score FROM risk_pairs",
+    "sim10_industry_pairs": "SELECT a, b, method FROM class_pairs",
+    "sim13_size_pairs": "SELECT a, b, method, bucket::BIGINT AS bucket FROM size_pairs",
+    "sim14_technology_pairs": """SELECT least(src, dst) AS cik1, greatest(src, dst) AS cik2, round(max(score), 6) AS score FROM (
+    SELECT *, row_number() OVER (PARTITION BY src ORDER BY round(score, 9) DESC, dst) AS r
+    FROM (SELECT a AS src, b AS dst, score FROM tech_jaccard WHERE score >= 0.1 UNION ALL SELECT b, a, score FROM tech_jaccard WHERE score >= 0.1)
+) WHERE r <= 5 GROUP BY 1, 2""",
+    "sim15_affinity": _AFFINITY + "SELECT src, dst, round(score, 6) AS score FROM affinity",
+    "sim16_via_domains": """, sz AS (SELECT domain, count(*) AS n FROM uses GROUP BY 1), dp AS (
+    SELECT a, b, shared / (x.n + y.n - shared) AS score FROM (SELECT x.domain AS a, y.domain AS b, count(*) AS shared FROM uses x JOIN uses y USING (technology) WHERE x.domain < y.domain GROUP BY 1, 2) JOIN sz x ON x.domain = a JOIN sz y ON y.domain = b
+), both_ways AS (SELECT a, b, score FROM dp WHERE score >= 0.6 UNION ALL SELECT b, a, score FROM dp WHERE score >= 0.6)
+SELECT x.src, y.src AS dst, round(max(score), 6) AS score, count(*) AS domain_pair_count FROM both_ways JOIN has_domain x ON x.dst = a JOIN has_domain y ON y.dst = b WHERE x.src <> y.src GROUP BY 1, 2""",
+    "qry15_co_occurrence": _AFFINITY + "SELECT src, dst, round(score, 6) AS score FROM affinity WHERE score > 0.3 ORDER BY round(score, 6) DESC, src, dst LIMIT 20",
+    "qry21_likely_adopters": _adoption("technology = 'Brand#1/ECONOMY'", 10) + "SELECT domain, score FROM ranked WHERE r <= 10",
+    "qry28_next_chunk": _CHUNKS + "SELECT doc_id || '_chunk_' || chunk_index AS src, doc_id || '_chunk_' || (chunk_index + 1) AS dst FROM chunks x WHERE EXISTS (SELECT 1 FROM chunks y WHERE y.doc_id = x.doc_id AND y.chunk_index = x.chunk_index + 1)",
+    "qry30_candidate_review": f"SELECT replace(rel_type, 'HAS_', 'CANDIDATE_') AS rel_type, src, dst, embedding_similarity FROM all_edges WHERE {_TIER} = 'medium' ORDER BY embedding_similarity DESC, 1, src, dst LIMIT 25",
+    "snk01_latest_observations": "SELECT user_id, arg_max(value, (ts, event_id)) FILTER (event_type = 'click') AS click, arg_max(value, (ts, event_id)) FILTER (event_type = 'error') AS error, arg_max((props->>'k')::BIGINT, (ts, event_id)) FILTER (props->>'k' IS NOT NULL) AS k FROM events GROUP BY 1",
+    "snk05_filled_companies": "SELECT cik, coalesce(revenue, min(revenue) OVER (PARTITION BY sic)) AS revenue FROM company",
+    "snk06_upserted_companies": "SELECT coalesce(cik, c_custkey) AS cik, coalesce(CASE WHEN c_acctbal > 0 THEN c_acctbal END, revenue) AS revenue, c_mktsegment AS segment FROM company FULL JOIN customer ON cik = c_custkey",
+    "snk07_merged_companies": ", x AS (SELECT cik, CASE WHEN cik % 3 = 0 THEN employees::DOUBLE END AS s, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS m FROM company LEFT JOIN customer ON cik = c_custkey) SELECT cik, coalesce(s, m) AS registry_first, coalesce(m, s) AS market_first, concat_ws(',', CASE WHEN s IS NOT NULL THEN 'SEC' END, CASE WHEN m IS NOT NULL THEN 'MARKET' END) AS data_source FROM x",
+    "snk13_documents": _CHUNKS + "SELECT doc_id, count(*) AS chunk_count FROM chunks GROUP BY 1",
+    "snk15_duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
+    "snk16_cleanup_counts": f"SELECT rel_type, CASE {_TIER} WHEN 'high' THEN 'keep' WHEN 'medium' THEN 'convert' ELSE 'delete' END AS action, count(*) AS n FROM all_edges GROUP BY 1, 2",
+    "src05_observation_counts": "SELECT count(DISTINCT user_id) AS total, count(DISTINCT user_id) FILTER (value > 10) AS with_value, count(DISTINCT user_id) FILTER (event_type <> 'click') AS with_kind FROM events",
+    "src12_directory": "SELECT lpad((c_custkey % 700)::VARCHAR, 10, '0') AS cik, 'T' || min(c_custkey) AS ticker, arg_min(c_name, c_custkey) AS name FROM customer GROUP BY c_custkey % 700",
+    "src18_filers": "SELECT cik, name FROM company WHERE cik IN (SELECT src FROM has_competitor) AND cik NOT IN (SELECT src FROM has_supplier WHERE mentions > 1)",
+    "ent01_sentences": ", parts AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS p FROM documents), one AS (SELECT doc_id, unnest(range(0, len(p))) AS place, unnest(p) AS sentence FROM parts) SELECT doc_id, place, md5(sentence) AS sentence FROM one WHERE lower(sentence) LIKE '%thehe%' OR lower(sentence) LIKE '%lyou%' OR lower(sentence) LIKE '%queci%'",
+    "ent37_tiers": f"SELECT rel_type, src, dst, {_TIER} AS tier FROM all_edges",
+    "rag01_chunks": _CHUNKS + "SELECT doc_id || '_chunk_' || chunk_index AS chunk_id, chunk_index, length(text) AS n_chars, md5(text) AS digest FROM chunks",
+    "rag04_search": _VECTORS + "SELECT vec_id, score FROM s WHERE score >= 0.2 ORDER BY score DESC, vec_id LIMIT 10",
+    "rag05_search_around": _VECTORS + "SELECT vec_id, score FROM s WHERE vec_id % (SELECT count(*) FROM supplier) IN (SELECT 7 UNION SELECT dst FROM has_competitor WHERE src = 7 UNION SELECT src FROM has_competitor WHERE dst = 7) AND score >= 0 ORDER BY score DESC, vec_id LIMIT 10",
+    "emb02_aggregated": ", x AS (SELECT label, exp(-0.2 * (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1)) AS w, embedding::DOUBLE[] AS e FROM embeddings), y AS (SELECT label, w, unnest(range(0, len(e))) AS pos, unnest(e) AS v FROM x) SELECT label, pos, round(avg(v), 6) AS average, round(sum(v * w) / sum(w), 6) AS weighted, round(max(v), 6) AS maximum FROM y GROUP BY 1, 2",
+    "emb06_token_counts": "SELECT source, sum(length(text) // 4)::BIGINT AS tokens FROM documents GROUP BY 1",
+    "emb08_text_hash": f"SELECT doc_id, CASE WHEN text IS NULL OR {_STRIP.format('text')} = '' THEN '' ELSE sha256({_STRIP.format('text')}) END AS digest FROM documents",
+    "txt08_domains": "SELECT page_id, regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1), '^www[.]', '') AS host, regexp_extract(regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1), '([^.]+[.][^.]+)$', 1) AS domain FROM pages",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: GRAPH + (v if v.lstrip().startswith((",", "SELECT")) else v) for k, v in CATALOGUE.items()}
+    return {k: GRAPH + v for k, v in (CATALOGUE | OPERATORS).items()}

@@ -1,0 +1,94 @@
+"""Chunks, their vectors, and retrieval with the graph around a company."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions.text import char_chunks
+from ..graph import undirected
+from ..operators.ranking import keep_first, top_k
+from ..operators.similarity import cosine
+
+DECAY = 0.2
+BATCH_TOKENS = 40_000
+
+
+def document_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, chunk_index, chunk_id, text of every chunk of every document."""
+    return docs.where(F.col(text).isNotNull()).select(F.col(key), F.posexplode(char_chunks(F.col(text))).alias("chunk_index", "text")).select(
+        key, F.col("chunk_index").cast("long").alias("chunk_index"), F.concat_ws("_chunk_", F.col(key).cast("string"), F.col("chunk_index").cast("string")).alias("chunk_id"), "text"
+    )
+
+
+def documents_of(chunks: DataFrame, key: str = "doc_id") -> DataFrame:
+    return chunks.groupBy(key).agg(F.count("*").alias("chunk_count"))
+
+
+def next_chunk(chunks: DataFrame, key: str = "doc_id") -> DataFrame:
+    """src, dst: each chunk and the one after it."""
+    w = Window.partitionBy(key).orderBy("chunk_index")
+    return chunks.select(F.col("chunk_id").alias("src"), F.lead("chunk_id").over(w).alias("dst")).where("dst IS NOT NULL")
+
+
+def aggregated_embeddings(vectors: DataFrame, key: str, order: str, embedding: str = "embedding") -> DataFrame:
+    """key, pos, average, weighted, maximum of the vectors of each key, component by component.
+
+    Weights fall by exp(-0.2 i) with a vector's place among its key's and sum to 1.
+    """
+    place = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
+    weighed = vectors.where(F.col(embedding).isNotNull()).withColumn("w", F.exp(-DECAY * place))
+    flat = weighed.select(key, "w", F.posexplode(embedding).alias("pos", "x"))
+    x = F.col("x").cast("double")
+    return flat.groupBy(key, F.col("pos").cast("long").alias("pos")).agg(F.avg(x).alias("average"), (F.sum(x * F.col("w")) / F.sum("w")).alias("weighted"), F.max(x).alias("maximum"))
+
+
+def search(vectors: DataFrame, query: DataFrame, limit: int = 10, least: float = 0.5, key: str = "vec_id") -> DataFrame:
+    """key, score: the vectors nearest to the one row of ``query(q)``, exact over all."""
+    scored = vectors.crossJoin(F.broadcast(query.limit(1))).select(key, F.round(cosine(F.col("embedding"), F.col("q")), 6).alias("score"))
+    return top_k(scored.where(F.col("score") >= least), limit, F.desc("score"), F.asc(key))
+
+
+def search_around(vectors: DataFrame, query: DataFrame, owner: DataFrame, edges: DataFrame, cik: int, limit: int = 10, least: float = 0.0) -> DataFrame:
+    """As ``search``, over what a company and its neighbours on ``edges`` own."""
+    near = undirected(edges.select("src", "dst")).where(F.col("src") == cik).select(F.col("dst").alias("cik")).distinct()
+    near = near.union(near.sparkSession.createDataFrame([(cik,)], "cik long")).distinct()
+    mine = owner.join(near, "cik", "left_semi").select("vec_id").distinct()
+    return search(vectors.join(mine, "vec_id", "left_semi"), query, limit, least)
+
+
+def answer_context(chunks: DataFrame, hops: DataFrame, owner: DataFrame, limit: int = 5) -> DataFrame:
+    """The best chunks, each with the least number of hops to its owner, and their texts as one
+    numbered context: chunk_id, score, hops, line."""
+    told = chunks.join(owner, "chunk_id", "left").join(hops.select(F.col("node").alias("cik"), "hops"), "cik", "left")
+    one = keep_first(told, ["chunk_id"], F.asc_nulls_last("hops"))
+    return top_k(one, limit, F.desc("score"), F.asc("chunk_id")).select("chunk_id", "score", "hops", F.concat_ws(" ", F.concat(F.lit("["), "chunk_id", F.lit("]")), "text").alias("line"))
+
+
+def token_batches(docs: DataFrame, group: str, order: str, tokens: str, most: int = BATCH_TOKENS) -> DataFrame:
+    """group, order, batch: consecutive rows of a group packed greedily, at most ``most`` tokens a batch.
+
+    A group is streamed in order through one task that holds two numbers; a row that is larger
+    than ``most`` is a batch of its own.
+    """
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in (group, order)}
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, batch, held = None, 0, 0
+        for b in batches:
+            numbers = []
+            for g, n in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                n = n or 0
+                if g != current:
+                    current, batch, held = g, 0, 0
+                elif held + n > most:
+                    batch, held = batch + 1, 0
+                held += n
+                numbers.append(batch)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(numbers, pa.int64())], [group, order, "batch"])
+
+    ordered = docs.select(group, order, F.col(tokens).cast("long").alias(tokens)).repartition(group).sortWithinPartitions(group, order)
+    return ordered.mapInArrow(fill, f"`{group}` {kinds[group]}, `{order}` {kinds[order]}, batch long")

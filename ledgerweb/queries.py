@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graph import BusinessGraph
-from .plans import catalogue
+from .functions import resolution, text
+from .graph import BusinessGraph, duplicate_keys, undirected
+from .operators import algorithms, paths, ranking, similarity
+from .plans import adoption, catalogue, retrieval
+from .sources import observations
 
 
 def _on_graph(f: Callable[[BusinessGraph], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -49,5 +52,190 @@ CATALOGUE = {
 }
 
 
+def _nodes(g: BusinessGraph) -> DataFrame:
+    return g.company.select(F.col("cik").alias("node"))
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+def _targets(g: BusinessGraph) -> DataFrame:
+    return g.technology.where(F.col("technology").startswith("Brand#1/")).select("technology")
+
+
+def adoption_prediction(g: BusinessGraph) -> DataFrame:
+    return adoption.adoption(g.uses, _targets(g), top_k=20)
+
+
+def likely_adopters(g: BusinessGraph) -> DataFrame:
+    one = g.technology.where("technology = 'Brand#1/ECONOMY'").select("technology")
+    return adoption.adoption(g.uses, one, top_k=10).select("domain", "score")
+
+
+def typed_paths(g: BusinessGraph) -> DataFrame:
+    e = g.all_edges("HAS_COMPETITOR", "HAS_SUPPLIER").select("src", "dst", "rel_type")
+    out = paths.typed_paths(_nodes(g).where("node = 7"), undirected(e), 2)
+    return out.groupBy("node", F.col("hops").cast("long").alias("hops"), F.array_join("types", ">").alias("types")).agg(F.count("*").alias("paths"))
+
+
+def technology_pairs(g: BusinessGraph) -> DataFrame:
+    both = similarity.top_k_of_either_side(similarity.set_jaccard_pairs(g.company_uses, "cik", "technology"), 0.1, 5)
+    return both.groupBy(F.least("src", "dst").alias("cik1"), F.greatest("src", "dst").alias("cik2")).agg(F.round(F.max("score"), 6).alias("score"))
+
+
+def via_domains(g: BusinessGraph) -> DataFrame:
+    pairs = similarity.set_jaccard_pairs(g.uses, "domain", "technology").where("score >= 0.6")
+    return _rounded(similarity.via_domains(g.has_domain, pairs, 0.6), "score")
+
+
+def candidate_review(g: BusinessGraph) -> DataFrame:
+    out = resolution.split_edges(g.all_edges()).where("confidence_tier = 'medium'")
+    return ranking.top_k(out.select("rel_type", "src", "dst", "embedding_similarity"), 25, F.desc("embedding_similarity"), F.asc("rel_type"), F.asc("src"), F.asc("dst"))
+
+
+def cleanup_counts(g: BusinessGraph) -> DataFrame:
+    e = g.all_edges()
+    return e.groupBy("rel_type", resolution.cleanup_action(F.col("rel_type"), F.col("embedding_similarity")).alias("action")).agg(F.count("*").alias("n"))
+
+
+def tiers(g: BusinessGraph) -> DataFrame:
+    return g.all_edges().select("rel_type", "src", "dst", resolution.confidence_tier(F.col("rel_type"), F.col("embedding_similarity")).alias("tier"))
+
+
+def latest_observations(g: BusinessGraph) -> DataFrame:
+    e = g.table("events").select("user_id", "ts", "event_id", F.when(F.col("event_type") == "click", F.col("value")).alias("click"), F.when(F.col("event_type") == "error", F.col("value")).alias("error"), F.from_json("props", "k long")["k"].alias("k"))
+    return observations.latest_values(e, ["user_id"], ["ts", "event_id"], ["click", "error", "k"])
+
+
+def filled_companies(g: BusinessGraph) -> DataFrame:
+    least = g.company.groupBy("sic").agg(F.min("revenue").alias("r"))
+    new = g.company.join(least, "sic").select("cik", F.col("r").alias("revenue"))
+    return observations.fill_only(g.company.select("cik", "revenue"), new, ["cik"])
+
+
+def upserted_companies(g: BusinessGraph) -> DataFrame:
+    new = g.table("customer").select(F.col("c_custkey").alias("cik"), F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("revenue"), F.col("c_mktsegment").alias("segment"))
+    return observations.upsert(g.company.select("cik", "revenue"), new, ["cik"])
+
+
+def merged_companies(g: BusinessGraph) -> DataFrame:
+    m = g.table("customer").select(F.col("c_custkey").alias("cik"), F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("m"))
+    both = g.company.select("cik", F.when(F.col("cik") % 3 == 0, F.col("employees").cast("double")).alias("s")).join(m, "cik", "left")
+    none = F.lit(None).cast("double")
+    source = F.concat_ws(",", F.when(F.col("s").isNotNull(), "SEC"), F.when(F.col("m").isNotNull(), "MARKET"))
+    return both.select("cik", observations.merged_properties(F.col("s"), F.col("m"), none, True).alias("registry_first"), observations.merged_properties(F.col("s"), F.col("m"), none, False).alias("market_first"), source.alias("data_source"))
+
+
+def directory(g: BusinessGraph) -> DataFrame:
+    rows = g.table("customer").select((F.col("c_custkey") % 700).alias("cik"), F.concat(F.lit("t"), "c_custkey").alias("ticker"), F.concat(F.lit(" "), "c_name", F.lit(" ")).alias("name"), F.col("c_custkey").alias("row"))
+    return observations.company_directory(rows, "row")
+
+
+def filers(g: BusinessGraph) -> DataFrame:
+    e, bad = g.edges("HAS_COMPETITOR"), g.edges("HAS_SUPPLIER").where("mentions > 1")
+    return observations.with_filings(g.company.select("cik", "name"), e.select(F.col("src").alias("cik")), bad.select(F.col("src").alias("cik")), "cik")
+
+
+def observation_counts(g: BusinessGraph) -> DataFrame:
+    e = g.table("events").select("user_id", F.when(F.col("value") > 10, F.col("value")).alias("value"), F.when(F.col("event_type") != "click", F.col("event_type")).alias("kind"))
+    return observations.conditional_counts(e, "user_id", ["value", "kind"])
+
+
+def keyword_sentences(g: BusinessGraph) -> DataFrame:
+    out = text.relationship_sentences(g.table("documents").select("doc_id", "text"), ["thehe", "lyou", "queci"])
+    return out.select("doc_id", F.col("place").cast("long").alias("place"), F.md5("sentence").alias("sentence"))
+
+
+def chunks(g: BusinessGraph) -> DataFrame:
+    return retrieval.document_chunks(g.table("documents"))
+
+
+def chunk_digests(g: BusinessGraph) -> DataFrame:
+    return chunks(g).select("chunk_id", "chunk_index", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("digest"))
+
+
+def _query_vector(g: BusinessGraph) -> DataFrame:
+    return g.table("embeddings").where("vec_id = 3").select(F.col("embedding").alias("q"))
+
+
+def vector_search(g: BusinessGraph) -> DataFrame:
+    return retrieval.search(g.table("embeddings"), _query_vector(g), 10, 0.2)
+
+
+def graph_search(g: BusinessGraph) -> DataFrame:
+    vectors = g.table("embeddings")
+    n = g.table("supplier").agg(F.count("*").alias("n"))  # one row
+    owner = vectors.select("vec_id").crossJoin(F.broadcast(n)).select("vec_id", (F.col("vec_id") % F.col("n")).alias("cik"))
+    return retrieval.search_around(vectors, _query_vector(g), owner, g.edges("HAS_COMPETITOR"), 7)
+
+
+def label_embeddings(g: BusinessGraph) -> DataFrame:
+    return _rounded(retrieval.aggregated_embeddings(g.table("embeddings"), "label", "vec_id"), "average", "weighted", "maximum")
+
+
+def token_batches(g: BusinessGraph) -> DataFrame:
+    docs = g.table("documents").select("source", "doc_id", text.token_estimate(F.col("text")).alias("tokens"))
+    return retrieval.token_batches(docs, "source", "doc_id", "tokens")
+
+
+def page_domains(g: BusinessGraph) -> DataFrame:
+    url = F.col("url")
+    return g.table("pages").select("page_id", text.host(url).alias("host"), text.root_domain(url).alias("domain"))
+
+
+def resolved_mentions(g: BusinessGraph) -> DataFrame:
+    """Who the passages of a literal filing mention."""
+    companies = g.spark.createDataFrame([(789019, "MSFT", "Microsoft Corporation"), (50863, "INTC", "Intel Corporation"), (1018724, "AMZN", "Amazon.com, Inc."), (27419, "TGT", "Target Corp")], "cik long, ticker string, name string")
+    said = g.spark.createDataFrame([(1, "Our principal competitors include Microsoft, Intel Corporation and AMZN."), (2, "Our Target date depends on Intel."), (3, "We purchase chips from Intel Corporation. IT is costly.")], "doc_id long, sentence string")
+    found = text.candidates(said, "sentence")
+    out = resolution.resolve_mentions(found, resolution.company_lookup(companies), ["doc_id"])
+    claim = resolution.verified_relation(F.lit("HAS_COMPETITOR"), F.col("sentence"))
+    return out.select("doc_id", "cik", "candidate", "match_type", F.round("confidence", 6).alias("confidence"), claim["result"].alias("verdict"))
+
+
+OPERATORS = {
+    "gra01_pagerank": lambda g: _rounded(algorithms.pagerank(_nodes(g), g.edges("HAS_COMPETITOR")), "rank"),
+    "gra02_communities": lambda g: algorithms.communities(_nodes(g), g.edges("HAS_COMPETITOR")),
+    "gra03_degrees": lambda g: algorithms.degrees(g.edges("HAS_COMPETITOR"), _nodes(g)),
+    "gra04_betweenness": lambda g: _rounded(algorithms.betweenness(_nodes(g), g.edges("HAS_COMPETITOR")), "betweenness"),
+    "gra06_adoption": adoption_prediction,
+    "joi16_typed_paths": typed_paths,
+    "sim07_risk_pairs": lambda g: _rounded(catalogue.risk_pairs(g), "score"),
+    "sim10_industry_pairs": lambda g: similarity.same_class_pairs(g.company, ["sic", "sector"]),
+    "sim13_size_pairs": lambda g: similarity.size_pairs(g.company).select("a", "b", "method", F.col("bucket").cast("long").alias("bucket")),
+    "sim14_technology_pairs": technology_pairs,
+    "sim15_affinity": lambda g: _rounded(adoption.affinity(g.uses), "score"),
+    "sim16_via_domains": via_domains,
+    "qry15_co_occurrence": lambda g: ranking.top_k(_rounded(adoption.affinity(g.uses).where("score > 0.3"), "score"), 20, F.desc("score"), F.asc("src"), F.asc("dst")),
+    "qry21_likely_adopters": likely_adopters,
+    "qry28_next_chunk": lambda g: retrieval.next_chunk(chunks(g)),
+    "qry30_candidate_review": candidate_review,
+    "snk01_latest_observations": latest_observations,
+    "snk05_filled_companies": filled_companies,
+    "snk06_upserted_companies": upserted_companies,
+    "snk07_merged_companies": merged_companies,
+    "snk13_documents": lambda g: retrieval.documents_of(chunks(g)),
+    "snk15_duplicate_keys": lambda g: duplicate_keys(g.table("lineitem"), "l_orderkey", "l_linenumber"),
+    "snk16_cleanup_counts": cleanup_counts,
+    "src05_observation_counts": observation_counts,
+    "src12_directory": directory,
+    "src18_filers": filers,
+    "ent01_sentences": keyword_sentences,
+    "ent03_candidates": lambda g: text.candidates(g.table("benchmark")),
+    "ent29_resolved_mentions": resolved_mentions,
+    "ent37_tiers": tiers,
+    "rag01_chunks": chunk_digests,
+    "rag03_page_text": lambda g: text.html_text(g.table("pages"), "page_id"),
+    "rag04_search": vector_search,
+    "rag05_search_around": graph_search,
+    "emb02_aggregated": label_embeddings,
+    "emb06_token_counts": lambda g: g.table("documents").groupBy("source").agg(F.sum(text.token_estimate(F.col("text"))).alias("tokens")),
+    "emb07_token_batches": token_batches,
+    "emb08_text_hash": lambda g: g.table("documents").select("doc_id", text.text_hash(F.col("text")).alias("digest")),
+    "txt08_domains": page_domains,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _on_graph(f) for k, f in CATALOGUE.items()}
+    return {k: _on_graph(f) for k, f in (CATALOGUE | OPERATORS).items()}
