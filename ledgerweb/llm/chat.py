@@ -52,17 +52,19 @@ def jump_tables(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     there = ids.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
     state = ids.join(there, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("depth"), "score")
     state = cut(state, "jump")
-    count, tables = state.count(), []
+    count, tables, ended = state.count(), [], None
     while True:
-        climbing = state.where("up is not null").select("tree", "node", "up")
+        # only messages that still climb are joined again, with all they may meet
+        climbing, top = state.where("up is not null"), state.where("up is null")
+        ended = top if ended is None else ended.unionByName(top)
         # a table as long as all nodes is a circle that never ends
         if climbing.isEmpty() or 1 << len(tables) > 2 * count:
             break
-        tables.append(climbing)
-        above = state.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("score").alias("s2"))
-        state = state.join(above, ["tree", "up"], "left").select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score"))
+        tables.append(climbing.select("tree", "node", "up"))
+        above = ended.unionByName(climbing).select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("score").alias("s2"))
+        state = climbing.join(above, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"), (F.col("score") + F.col("s2")).alias("score"))
         state = cut(state, "jump")
-    return tables, state.where("up is null").select("tree", "node", "depth", "score")
+    return tables, ended.select("tree", "node", "depth", "score")
 
 
 def choose_paths(nodes: DataFrame, best: int = 1) -> DataFrame:
