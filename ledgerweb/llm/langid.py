@@ -168,5 +168,7 @@ def language_stage(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     profiles = learn_profiles(docs.where(~(crc_of_id() % 4 == 2)))
     names = docs.columns
-    found = predict_languages(docs, profiles, names)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*names)
+    own = [f"__k{i}" for i in range(len(names))]  # a column may be called as the results are
+    found = predict_languages(docs.select("*", *(F.col(f"`{n}`").alias(o) for n, o in zip(names, own))), profiles, own)
+    found = found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
+    return found.select(*(F.col(o).alias(n) for n, o in zip(names, own)))
