@@ -1,57 +1,13 @@
-"""Session helpers shared by the operators: the shared folder, cut points and row identity."""
+"""Helpers shared by the operators: batches, row identity and, from the session module, cut points."""
 
 from __future__ import annotations
 
-import atexit
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no ``spark.checkpoint.dir`` (tests, local runs).
-LOCAL_CHECKPOINTS = "/tmp/checkpoints"
-
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share."""
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{LOCAL_CHECKPOINTS}"
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; removed when the driver's Python ends normally."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if not _written:
-        atexit.register(_clean)
-    _written.append((spark, path))
-    return path
-
-
-def _clean() -> None:
-    for spark, path in _written:
-        try:
-            delete_path(spark, path)
-        except Exception:  # noqa: BLE001 - the JVM may have gone already
-            return
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    Lineage ends here: a lost executor costs the tasks that read from it, never the work
-    that made the table, and the optimiser sees the true size of what follows.
-    """
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..session import cut, delete_path, fresh_path, shared_dir
 
+__all__ = ["crc_of_id", "cut", "delete_path", "fresh_path", "partitions", "shared_dir", "small_batches"]
 
 #: Rows that go to a Python worker at once; whole texts can be long.
 BATCH_ROWS = 1000
