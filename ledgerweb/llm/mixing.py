@@ -173,8 +173,8 @@ def mixing_stage(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     names = docs.columns
     model = DomainModel(docs, labelled)
     posterior = [f"__p{i}" for i in range(max(1, len(model.domains)))]
-    full = model.with_posteriors(docs, "__tokens", "__")
-    table = cut(full.select("__tokens", *posterior), "posteriors")
-    steps = fit_rates(table, "__tokens", posterior, _shares(model.domains, targets))
+    # written whole: whoever filters by the rate later would otherwise take each text apart again
+    full = cut(model.with_posteriors(docs, "__tokens", "__"), "posteriors")
+    steps = fit_rates(full.select("__tokens", *posterior), "__tokens", posterior, _shares(model.domains, targets))
     rated = full.select(*(F.col(f"`{c}`") for c in names), rate_after(steps, posterior).alias("__rate")).withColumn("__copies", copies_of("__rate"))
     return rated.where("__copies > 0").select(*(F.col(f"`{c}`") for c in names), F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")).select(*(F.col(f"`{c}`") for c in names))
