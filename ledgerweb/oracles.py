@@ -172,6 +172,24 @@ starts AS (
 _VECTORS = ", v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), s AS (SELECT v.vec_id, round(list_cosine_similarity(v.e, q.e), 6) AS score FROM v, (SELECT e FROM v WHERE vec_id = 3) q)\n"
 
 OPERATORS = {
+    "sim18_extended_similar": """, x AS (
+    SELECT src, dst, rel_type, score FROM similar_edges
+    UNION ALL SELECT least(src, dst), greatest(src, dst), 'HAS_COMPETITOR', max(confidence) FROM has_competitor GROUP BY 1, 2
+), y AS (
+    SELECT dst, sum(score * CASE rel_type WHEN 'HAS_COMPETITOR' THEN 4.0 WHEN 'SIMILAR_DESCRIPTION' THEN 0.8 WHEN 'SIMILAR_RISK' THEN 0.8 WHEN 'SIMILAR_INDUSTRY' THEN 0.72 WHEN 'SIMILAR_SIZE' THEN 0.2 ELSE 0.3 END) AS score,
+        count(*) FILTER (rel_type = 'HAS_COMPETITOR') AS c, count(*) FILTER (rel_type = 'SIMILAR_INDUSTRY') AS i, count(*) FILTER (rel_type = 'SIMILAR_SIZE') AS z, count(*) FILTER (rel_type = 'SIMILAR_RISK') AS r
+    FROM (SELECT src, dst, rel_type, score FROM x UNION ALL SELECT dst, src, rel_type, score FROM x) WHERE src = 7 GROUP BY 1
+)
+SELECT dst, round(score + CASE WHEN i > 0 AND z > 0 THEN 0.2 ELSE 0 END + CASE WHEN r > 0 AND i > 0 THEN 0.2 ELSE 0 END, 6) AS score, c AS has_competitor_matches, i AS similar_industry_matches FROM y ORDER BY 2 DESC, 1 LIMIT 20""",
+    "sim20_similarity_breakdown": """, t AS (SELECT technology FROM company_uses WHERE cik = 7 INTERSECT SELECT technology FROM company_uses WHERE cik = 9)
+SELECT coalesce((SELECT array_to_string(list_sort(list(rel_type || ':' || score::DECIMAL(9, 6))), ',') FROM similar_edges WHERE src = 7 AND dst = 9), '') AS kinds,
+    (SELECT count(*) FROM t) AS n_shared, coalesce((SELECT array_to_string(list_sort(list(technology)), ',') FROM t), '') AS shared""",
+    "ent34_verdicts": """SELECT rel_type, src, dst, CASE WHEN said = rel_type THEN 'confirmed' ELSE 'contradicted' END AS result, CASE WHEN said = rel_type THEN '' ELSE said END AS suggested, 0.9::DOUBLE AS confidence
+FROM (SELECT *, CASE WHEN mentions % 2 = 0 THEN 'HAS_COMPETITOR' ELSE 'HAS_SUPPLIER' END AS said FROM all_edges)""",
+    "rag06_answer_context": _VECTORS + """, best AS (SELECT vec_id, score FROM s WHERE score >= 0 ORDER BY score DESC, vec_id LIMIT 10),
+u AS (SELECT src, dst FROM has_competitor UNION SELECT dst, src FROM has_competitor), one AS (SELECT dst AS node FROM u WHERE src = 7),
+hop AS (SELECT node, min(h)::BIGINT AS hops FROM (SELECT node, 1 AS h FROM one UNION ALL SELECT dst, 2 FROM one JOIN u ON src = node) WHERE node <> 7 GROUP BY 1)
+SELECT vec_id AS chunk_id, score, hops, md5('[' || vec_id || '] ' || text) AS line FROM best JOIN documents ON doc_id = vec_id LEFT JOIN hop ON node = vec_id % (SELECT count(*) FROM supplier) ORDER BY score DESC, vec_id LIMIT 5""",
     "gra01_pagerank": _SHARES + """, pr(it, node, rank) AS (
     SELECT 0, cik, 0.15::DOUBLE FROM company
     UNION ALL

@@ -212,3 +212,22 @@ def coverage(g: BusinessGraph) -> DataFrame:
     d = g.has_domain.select(F.col("src").alias("cik"), F.lit(True).alias("d")).distinct()
     c = g.edges("HAS_COMPETITOR").select(F.col("src").alias("cik"), F.lit(True).alias("c")).distinct()
     return g.company.join(d, "cik", "left").join(c, "cik", "left").agg(F.count("*").alias("companies"), F.count("revenue").alias("with_revenue"), F.count("d").alias("with_domain"), F.sum(F.when(F.col("c").isNotNull(), 1).otherwise(0)).alias("with_competitor"))
+
+
+def extended_similar(g: BusinessGraph, cik: int = 7, limit: int = 20) -> DataFrame:
+    """Every kind of edge weighted, with bonuses for industry and size, and risk and industry."""
+    e = similar_edges(g)
+    rivals = g.edges("HAS_COMPETITOR").groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.max("confidence").alias("score"))
+    e = e.unionByName(rivals.select("src", "dst", F.lit("HAS_COMPETITOR").alias("rel_type"), "score"))
+    weights = {"HAS_COMPETITOR": 4.0, "SIMILAR_DESCRIPTION": 0.8, "SIMILAR_RISK": 0.8, "SIMILAR_INDUSTRY": 0.6 * 1.2, "SIMILAR_SIZE": 0.2, "SIMILAR_TECHNOLOGY": 0.3}
+    s = similarity.weighted_similar(e, weights).where(F.col("src") == cik)
+    bonus = F.when((F.col("similar_industry_matches") > 0) & (F.col("similar_size_matches") > 0), 0.2).otherwise(0.0) + F.when((F.col("similar_risk_matches") > 0) & (F.col("similar_industry_matches") > 0), 0.2).otherwise(0.0)
+    return top_k(s.select("dst", F.round(F.col("score") + bonus, 6).alias("score"), "has_competitor_matches", "similar_industry_matches"), limit, F.desc("score"), F.asc("dst"))
+
+
+def similarity_breakdown(g: BusinessGraph, a: int = 7, b: int = 9) -> DataFrame:
+    """What makes two companies alike, and the technologies they share."""
+    e = similar_edges(g).where((F.least("src", "dst") == min(a, b)) & (F.greatest("src", "dst") == max(a, b)))
+    kinds = e.agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "rel_type", F.col("score").cast("decimal(9,6)").cast("string")))), ",").alias("kinds"))
+    tech = g.company_uses.where(F.col("cik") == a).select("technology").intersect(g.company_uses.where(F.col("cik") == b).select("technology"))
+    return kinds.crossJoin(tech.agg(F.count("*").alias("n_shared"), listed("technology").alias("shared")))  # one row each

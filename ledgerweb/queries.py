@@ -49,6 +49,8 @@ CATALOGUE = {
     "qry32_edge_presence": catalogue.edge_presence,
     "qry33_coverage": catalogue.coverage,
     "sim17_similar_companies": catalogue.similar_companies,
+    "sim18_extended_similar": catalogue.extended_similar,
+    "sim20_similarity_breakdown": catalogue.similarity_breakdown,
 }
 
 
@@ -179,6 +181,24 @@ def token_batches(g: BusinessGraph) -> DataFrame:
     return retrieval.token_batches(docs, "source", "doc_id", "tokens")
 
 
+def answer_context(g: BusinessGraph) -> DataFrame:
+    """The chunks nearest to a query vector, with the hops from a company to their owners."""
+    found = retrieval.search(g.table("embeddings"), _query_vector(g), 10, 0.0)
+    n = g.table("supplier").agg(F.count("*").alias("n"))  # one row
+    owned = found.crossJoin(F.broadcast(n)).select(F.col("vec_id").alias("chunk_id"), "score", (F.col("vec_id") % F.col("n")).alias("cik"))
+    chunk = owned.join(g.table("documents").select(F.col("doc_id").alias("chunk_id"), "text"), "chunk_id").drop("cik")
+    hops = paths.hops_from(_nodes(g).where("node = 7"), undirected(g.edges("HAS_COMPETITOR").select("src", "dst")), 2)
+    out = retrieval.answer_context(chunk, hops, owned.select("chunk_id", "cik"))
+    return out.select("chunk_id", "score", F.col("hops").cast("long").alias("hops"), F.md5("line").alias("line"))
+
+
+def mention_verdicts(g: BusinessGraph) -> DataFrame:
+    """Claims read off each relation, against a sentence made for the pair."""
+    sentence = F.when(F.col("mentions") % 2 == 0, F.concat(F.lit("We compete with "), "dst", F.lit("."))).otherwise(F.concat(F.lit("We purchase parts from "), "dst", F.lit(".")))
+    v = resolution.verified_relation(F.col("rel_type"), sentence)
+    return g.all_edges().select("rel_type", "src", "dst", v["result"].alias("result"), F.coalesce(v["suggested"], F.lit("")).alias("suggested"), v["confidence"].alias("confidence"))
+
+
 def page_domains(g: BusinessGraph) -> DataFrame:
     url = F.col("url")
     return g.table("pages").select("page_id", text.host(url).alias("host"), text.root_domain(url).alias("domain"))
@@ -229,6 +249,8 @@ OPERATORS = {
     "rag03_page_text": lambda g: text.html_text(g.table("pages"), "page_id"),
     "rag04_search": vector_search,
     "rag05_search_around": graph_search,
+    "rag06_answer_context": answer_context,
+    "ent34_verdicts": mention_verdicts,
     "emb02_aggregated": label_embeddings,
     "emb06_token_counts": lambda g: g.table("documents").groupBy("source").agg(F.sum(text.token_estimate(F.col("text"))).alias("tokens")),
     "emb07_token_batches": token_batches,
