@@ -46,3 +46,21 @@ SELECT r.node AS vec_id, coalesce(max(d.n), 0)::BIGINT AS n_links, min(r.other)
     r.node = min(r.other) AS kept
 FROM reach r LEFT JOIN degree d ON d.a = r.node GROUP BY r.node
 """
+
+ORACLES["op4_substring_dedup"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), starts AS (
+    SELECT doc_id, p, md5(array_to_string(ws[p:p + 34], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS p FROM d WHERE len(ws) >= 35)
+), repeated AS (
+    SELECT doc_id, p FROM starts WHERE h IN (SELECT h FROM starts GROUP BY h HAVING count(*) > 1)
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS i FROM repeated
+), words AS (
+    SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS w FROM d
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY 1
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
