@@ -22,9 +22,10 @@ once in about 30,000.
 Defined results
 * null text, or no word: never a duplicate
 * fewer than five words: the whole text is the one k-mer
-* rows that share an id are one document: they stay or go together
 * the class id is the smallest doc_id of the class; that document is the one kept
-* a document with a null id is kept only if no document of its class has an id
+* a document with a null id is marked kept only if no document of its class has an id; the
+  stage drops none without an id
+* rows that share an id stay or go together in the stage: they stay if one of them is kept
 * empty table: no rows
 """
 
@@ -278,5 +279,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def near_duplicate_stage(docs: DataFrame) -> DataFrame:
     """One document of each class, with all its columns."""
-    gone = cut(near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "dropped")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    ids = near_duplicates(docs).where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__gone")).agg(F.max("kept").alias("kept"))
+    gone = cut(ids.where("NOT kept").select("__gone"), "dropped")
+    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")

@@ -259,3 +259,10 @@ def test_radius_search(spark):
     df = spark.createDataFrame([(x,) for x in every], "fingerprint string")
     got = {tuple(x) for x in simhash.within_radius(df, df).collect()}
     assert got == {(a, b) for a in every for b in every if (int(a, 16) ^ int(b, 16)).bit_count() <= 3}
+
+
+def test_stage_keeps_rows_without_an_id(spark):
+    t, u = " ".join(prose(2, 60)), " ".join(prose(3, 60))
+    d = spark.createDataFrame([(None, t, "en", None, None), (None, u, "en", None, None), (4, t, None, None, None), (5, t, None, None, None), (5, u + " x", None, None, None)], SCHEMA)
+    got = sorted((str(r.doc_id), r.text) for r in minhash.near_duplicate_stage(d).collect())
+    assert got == sorted([("None", t), ("None", u), ("4", t), ("5", t), ("5", u + " x")])
