@@ -238,6 +238,11 @@ SELECT x.src, y.src AS dst, round(max(score), 6) AS score, count(*) AS domain_pa
     "emb02_aggregated": ", x AS (SELECT label, exp(-0.2 * (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1)) AS w, embedding::DOUBLE[] AS e FROM embeddings), y AS (SELECT label, w, unnest(range(0, len(e))) AS pos, unnest(e) AS v FROM x) SELECT label, pos, round(avg(v), 6) AS average, round(sum(v * w) / sum(w), 6) AS weighted, round(max(v), 6) AS maximum FROM y GROUP BY 1, 2",
     "emb06_token_counts": "SELECT source, sum(length(text) // 4)::BIGINT AS tokens FROM documents GROUP BY 1",
     "emb08_text_hash": f"SELECT doc_id, CASE WHEN text IS NULL OR {_STRIP.format('text')} = '' THEN '' ELSE sha256({_STRIP.format('text')}) END AS digest FROM documents",
+    "joi20_partial_names": """, pn AS (SELECT p_name AS name, min(p_partkey) AS cik FROM part GROUP BY 1), n AS (SELECT DISTINCT left(name, length(name) - 1) AS name FROM pn), m AS (
+    SELECT n.name, c.cik, CASE WHEN lower(n.name) = lower(c.name) THEN 0.95 ELSE 0.85 * length(n.name) / length(c.name) END AS confidence FROM n JOIN pn c ON starts_with(lower(c.name), lower(n.name))
+)
+SELECT name, cik, round(confidence, 6) AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY confidence DESC, cik) AS r FROM m WHERE confidence = 0.95 OR confidence > 0.85 * 0.6) WHERE r = 1""",
+    "emb05_worklist": f", h AS (SELECT doc_id, text, source, CASE WHEN {_STRIP.format('text')} = '' THEN '' ELSE sha256({_STRIP.format('text')}) END AS digest FROM documents) SELECT doc_id, digest FROM h WHERE length(text) >= 200 AND digest NOT IN (SELECT digest FROM h WHERE source = 'src1')",
     "txt08_domains": "SELECT page_id, regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1), '^www[.]', '') AS host, regexp_extract(regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1), '([^.]+[.][^.]+)$', 1) AS domain FROM pages",
 }
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .functions import resolution, text
 from .graph import BusinessGraph, duplicate_keys, undirected
 from .operators import algorithms, paths, ranking, similarity
-from .plans import adoption, catalogue, retrieval
+from .plans import adoption, analytics, catalogue, relations, retrieval
 from .sources import observations
 
 
@@ -199,6 +199,17 @@ def mention_verdicts(g: BusinessGraph) -> DataFrame:
     return g.all_edges().select("rel_type", "src", "dst", v["result"].alias("result"), F.coalesce(v["suggested"], F.lit("")).alias("suggested"), v["confidence"].alias("confidence"))
 
 
+def partial_names(g: BusinessGraph) -> DataFrame:
+    parts = g.table("part").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("cik"))
+    names = parts.select(F.expr("substring(name, 1, length(name) - 1)").alias("name")).distinct()
+    return relations.partial_matches(names, parts).withColumn("confidence", F.round("confidence", 6))
+
+
+def worklist(g: BusinessGraph) -> DataFrame:
+    done = g.table("documents").where("source = 'src1'").select(text.text_hash(F.col("text")).alias("digest"))
+    return relations.embedding_worklist(g.table("documents"), done, "doc_id", "text").select("doc_id", "digest")
+
+
 def page_domains(g: BusinessGraph) -> DataFrame:
     url = F.col("url")
     return g.table("pages").select("page_id", text.host(url).alias("host"), text.root_domain(url).alias("domain"))
@@ -220,6 +231,7 @@ OPERATORS = {
     "gra03_degrees": lambda g: algorithms.degrees(g.edges("HAS_COMPETITOR"), _nodes(g)),
     "gra04_betweenness": lambda g: _rounded(algorithms.betweenness(_nodes(g), g.edges("HAS_COMPETITOR")), "betweenness"),
     "gra06_adoption": adoption_prediction,
+    "gra05_measures": lambda g: _rounded(analytics.competition_measures(_nodes(g), g.edges("HAS_COMPETITOR")), "rank", "betweenness"),
     "joi16_typed_paths": typed_paths,
     "sim07_risk_pairs": lambda g: _rounded(catalogue.risk_pairs(g), "score"),
     "sim10_industry_pairs": lambda g: similarity.same_class_pairs(g.company, ["sic", "sector"]),
@@ -255,6 +267,9 @@ OPERATORS = {
     "emb06_token_counts": lambda g: g.table("documents").groupBy("source").agg(F.sum(text.token_estimate(F.col("text"))).alias("tokens")),
     "emb07_token_batches": token_batches,
     "emb08_text_hash": lambda g: g.table("documents").select("doc_id", text.text_hash(F.col("text")).alias("digest")),
+    "joi20_partial_names": partial_names,
+    "emb05_worklist": worklist,
+    "txt01_parsed_pages": lambda g: relations.parsed_filings(g.table("pages"), "page_id"),
     "txt08_domains": page_domains,
 }
 

@@ -69,7 +69,9 @@ def test_small_functions(spark):
     assert one(spark, "12-3", lambda c: text.industry_code(c, 4)) == "0123"
     assert one(spark, "1", lambda c: text.industry_code(c, 4)) is None
     assert one(spark, "see 0000320193-22-000108.", text.accession_number) == "0000320193-22-000108"
-    assert one(spark, "Visit our website at www.acme.com or rival.org. acme.com again", text.best_website) == "acme.com"
+    assert text.best_website("See rival.org. Visit our website at www.acme.com or rival.org") == "rival.org"
+    assert text.best_website("rival.org, " + "x" * 100 + " our website is www.shop.acme.com") == "acme.com"
+    assert text.best_website("none") is None and text.best_website(None) is None
 
 
 def test_sections(spark):
@@ -78,6 +80,7 @@ def test_sections(spark):
     assert one(spark, page, lambda c: text.section(c, "business")) == body.strip()
     assert one(spark, page, lambda c: text.section(c, "risk_factors")).startswith("It may rain.")
     assert one(spark, "Item 1. Business\nshort\nItem 2", lambda c: text.section(c, "business")) is None
+    assert text.section_of(page, "business") == body.strip() and text.section_of("Item 1. Business\nshort", "business") is None
 
 
 def test_visible_text():
