@@ -15,7 +15,7 @@ is one aggregate over a slim table and no state but those numbers is kept.
 Everything is DataFrame functions; the driver sees sums for each domain and a bounded lexicon.
 
 Defined results
-* null text counts as empty: no tokens, posterior from the same model
+* tokens are words between blanks; null text counts as empty: no tokens, posterior from the same model
 * no usable label: one domain, ``all``, whose posterior is 1
 * targets for domains that no label has are left out and the others scaled up to 1
 * rows of one id get the same number of copies; an empty table gives no rows
@@ -68,7 +68,7 @@ class DomainModel:
 
     @staticmethod
     def _lexicons(texts: DataFrame, counts: dict[str, int]) -> dict[str, list[str]]:
-        word = texts.select("domain", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word")).where("word != ''")
+        word = texts.select("domain", F.explode(F.array_distinct(DomainModel._words())).alias("word")).where(r"word RLIKE '^\\p{L}+$'")
         table = word.groupBy("word").agg(*(F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(counts)))
         table = cut(table.where(" OR ".join(f"n{i} >= {max(2, LEXICON_SHARE * n)}" for i, n in enumerate(counts.values()))), "words")
         out = {}
@@ -80,24 +80,30 @@ class DomainModel:
                 out[d] = sorted(found)
         return out
 
+    @staticmethod
+    def _words() -> Column:
+        """Lower-case words between blanks; every feature of words is taken from this one array."""
+        return F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), " ")
+
     def _features(self) -> list[tuple[str, Column]]:
         text = F.coalesce(F.col("text"), F.lit(""))
         size = F.greatest(F.length(text), F.lit(1))
-        words = F.split(text, " ")
+        distinct = F.array_distinct(self._words())
         out = [
             ("upper", F.regexp_count(text, F.lit(r"\p{Lu}")) / size),
             ("symbols", F.regexp_count(text, F.lit(r"[#$%&*+/<=>@^_|~!\[\]{}]")) / size),
-            ("distinct", F.size(F.array_distinct(words)) / F.size(words)),
+            ("distinct", F.size(distinct) / F.size(self._words())),
         ]
         for i, (_, lexicon) in enumerate(sorted(self.words.items())):
-            pattern = r"(?<!\p{L})(?:" + "|".join(lexicon) + r")(?!\p{L})"
-            out.append((f"lexicon{i}", F.log1p(F.regexp_count(F.lower(text), F.lit(pattern)).cast("double"))))
+            telling = F.array(*(F.lit(w) for w in lexicon))
+            out.append((f"lexicon{i}", F.log1p(F.size(F.array_intersect(distinct, telling)).cast("double"))))
         return out
 
     def with_posteriors(self, docs: DataFrame, tokens: str, prefix: str) -> DataFrame:
         """``docs`` with its number of words and a column for each domain, in order of ``domains``."""
         own = [f"{prefix}f{i}" for i in range(len(self.names))]
-        out = docs.select("*", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"\S+")).cast("long").alias(tokens), *([c.alias(n) for n, (_, c) in zip(own, self._features())] if self.stats else []))
+        count = F.when(F.trim("text") != "", F.size(self._words())).otherwise(0).cast("long")
+        out = docs.select("*", count.alias(tokens), *([c.alias(n) for n, (_, c) in zip(own, self._features())] if self.stats else []))
         if not self.stats:
             return out.withColumn(f"{prefix}p0", F.lit(1.0))
         logs = []
