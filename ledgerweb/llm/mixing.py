@@ -15,7 +15,8 @@ is one aggregate over a slim table and no state but those numbers is kept.
 Everything is DataFrame functions; the driver sees sums for each domain and a bounded lexicon.
 
 Defined results
-* tokens are words between blanks; null text counts as empty: no tokens, posterior from the same model
+* tokens are runs of characters other than white space; telling words are whole runs of letters, counted as often as they occur
+* null text counts as empty: no tokens, posterior from the same model
 * no usable label: one domain, ``all``, whose posterior is 1
 * targets for domains that no label has are left out and the others scaled up to 1
 * rows of one id get the same number of copies; an empty table gives no rows
@@ -61,14 +62,14 @@ class DomainModel:
         self.names = [n for n, _ in self._features()]
         self.stats: dict[str, tuple[float, list[float], list[float]]] = {}
         if len(counts) > 1:
-            measured = texts.select("domain", *(c.alias(n) for n, c in self._features()))
+            measured = self._taken_apart(texts, "__").select("domain", *(c.alias(n) for n, c in self._features()))
             each = [f(n).alias(f"{k}_{n}") for n in self.names for k, f in (("m", F.avg), ("v", F.var_pop))]
             for r in measured.groupBy("domain").agg(*each).collect():
                 self.stats[r.domain] = (counts[r.domain] / sum(counts.values()), [r[f"m_{n}"] for n in self.names], [max(_FLOOR, r[f"v_{n}"]) for n in self.names])
 
     @staticmethod
     def _lexicons(texts: DataFrame, counts: dict[str, int]) -> dict[str, list[str]]:
-        word = texts.select("domain", F.explode(F.array_distinct(DomainModel._words())).alias("word")).where(r"word RLIKE '^\\p{L}+$'")
+        word = texts.select("domain", F.explode(F.array_distinct(DomainModel._letters())).alias("word")).where("word != ''")
         table = word.groupBy("word").agg(*(F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(counts)))
         table = cut(table.where(" OR ".join(f"n{i} >= {max(2, LEXICON_SHARE * n)}" for i, n in enumerate(counts.values()))), "words")
         out = {}
@@ -82,28 +83,41 @@ class DomainModel:
 
     @staticmethod
     def _words() -> Column:
-        """Lower-case words between blanks; every feature of words is taken from this one array."""
-        return F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), " ")
+        """Runs of characters other than white space, as they are written."""
+        return F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), r"\s+"), "")
 
-    def _features(self) -> list[tuple[str, Column]]:
-        text = F.coalesce(F.col("text"), F.lit(""))
+    @staticmethod
+    def _letters() -> Column:
+        """Lower-case runs of letters, and an empty one where the text begins or ends with something else."""
+        return F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), r"[^\p{L}]+")
+
+    def _taken_apart(self, docs: DataFrame, prefix: str) -> DataFrame:
+        """``docs`` with its words and those of any lexicon, each as often as it occurs: taken once for all features."""
+        telling = sorted({w for lexicon in self.words.values() for w in lexicon})
+        hits = F.filter(self._letters(), lambda w: w.isin(telling)) if telling else F.array().cast("array<string>")
+        return docs.select("*", self._words().alias(f"{prefix}words"), hits.alias(f"{prefix}hits"))
+
+    def _features(self, prefix: str = "__") -> list[tuple[str, Column]]:
+        text, words, hits = F.coalesce(F.col("text"), F.lit("")), F.col(f"{prefix}words"), F.col(f"{prefix}hits")
         size = F.greatest(F.length(text), F.lit(1))
-        distinct = F.array_distinct(self._words())
         out = [
             ("upper", F.regexp_count(text, F.lit(r"\p{Lu}")) / size),
             ("symbols", F.regexp_count(text, F.lit(r"[#$%&*+/<=>@^_|~!\[\]{}]")) / size),
-            ("distinct", F.size(distinct) / F.size(self._words())),
+            ("distinct", F.when(F.size(words) > 0, F.size(F.array_distinct(words)) / F.size(words)).otherwise(1.0)),
         ]
         for i, (_, lexicon) in enumerate(sorted(self.words.items())):
-            telling = F.array(*(F.lit(w) for w in lexicon))
-            out.append((f"lexicon{i}", F.log1p(F.size(F.array_intersect(distinct, telling)).cast("double"))))
+            out.append((f"lexicon{i}", F.log1p(self._among(hits, lexicon).cast("double"))))
         return out
 
+    @staticmethod
+    def _among(words: Column, lexicon: list[str]) -> Column:
+        return F.size(F.filter(words, lambda w: w.isin(lexicon)))
+
     def with_posteriors(self, docs: DataFrame, tokens: str, prefix: str) -> DataFrame:
         """``docs`` with its number of words and a column for each domain, in order of ``domains``."""
         own = [f"{prefix}f{i}" for i in range(len(self.names))]
-        count = F.when(F.trim("text") != "", F.size(self._words())).otherwise(0).cast("long")
-        out = docs.select("*", count.alias(tokens), *([c.alias(n) for n, (_, c) in zip(own, self._features())] if self.stats else []))
+        features = [c.alias(n) for n, (_, c) in zip(own, self._features(prefix))] if self.stats else []
+        out = self._taken_apart(docs, prefix).select(*(F.col(f"`{c}`") for c in docs.columns), F.size(f"{prefix}words").cast("long").alias(tokens), *features)
         if not self.stats:
             return out.withColumn(f"{prefix}p0", F.lit(1.0))
         logs = []

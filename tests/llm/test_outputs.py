@@ -94,6 +94,23 @@ def test_mixing_without_labels(spark):
     assert mixing.mixing_stage(docs(spark, ["a b"]), none).columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
 
 
+def test_words_next_to_any_white_space_and_punctuation(spark):
+    kinds = {"toxic": "Idiot.\nyou\tclown, idiot", "clean": "fair  words\n\nand (fair) play", "junk": "buy\tnow!\x0b buy now"}
+    texts, labels = [t for t in kinds.values() for _ in range(5)], [d for d in kinds for _ in range(5)]
+    labelled = spark.createDataFrame(list(enumerate(labels)), "doc_id long, domain string")
+    model = mixing.DomainModel(docs(spark, texts), labelled)
+    assert model.words == {"clean": ["and", "fair", "play", "words"], "junk": ["buy", "now"], "toxic": ["clown", "idiot", "you"]}
+    asked = ["a\nb", "a  b", " a\tb\r\n", "\n", "", None, "(idiot)\nCLOWN! idiots idiot,\tfair"]
+    names = model.names[-3:]
+    rows = model._taken_apart(docs(spark, asked), "__").select("doc_id", *(c.alias(n) for n, c in model._features())).collect()
+    got = {r.doc_id: [round(np.expm1(r[n])) for n in names] for r in rows}
+    assert got[6] == [1, 0, 3] and all(got[i] == [0, 0, 0] for i in range(6))
+    out = {r.doc_id: r for r in mixing.mix(docs(spark, asked), labelled).collect()}
+    assert [out[i].n_tokens for i in range(7)] == [2, 2, 2, 0, 0, 0, 5]
+    staged = mixing.mixing_stage(docs(spark, texts), labelled, {"toxic": 1.0})
+    assert {r.text for r in staged.select("text").distinct().collect()} == {kinds["toxic"]}
+
+
 # packing
 
 
