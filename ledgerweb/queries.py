@@ -67,9 +67,14 @@ def _targets(g: BusinessGraph) -> DataFrame:
 
 
 def adoption_prediction(g: BusinessGraph) -> DataFrame:
+    """The first 20 for the technologies of one brand: what its SQL asks for.  ``all_adoption`` has every technology."""
     return adoption.adoption(g.uses, _targets(g), top_k=20)
 
 
+def all_adoption(g: BusinessGraph) -> DataFrame:
+    return adoption.adoption(g.uses)
+
+
 def likely_adopters(g: BusinessGraph) -> DataFrame:
     one = g.technology.where("technology = 'Brand#1/ECONOMY'").select("technology")
     return adoption.adoption(g.uses, one, top_k=10).select("domain", "score")
@@ -231,6 +236,7 @@ OPERATORS = {
     "gra03_degrees": lambda g: algorithms.degrees(g.edges("HAS_COMPETITOR"), _nodes(g)),
     "gra04_betweenness": lambda g: _rounded(algorithms.betweenness(_nodes(g), g.edges("HAS_COMPETITOR")), "betweenness"),
     "gra06_adoption": adoption_prediction,
+    "gra06_all_adoption": all_adoption,
     "gra05_measures": lambda g: _rounded(analytics.competition_measures(_nodes(g), g.edges("HAS_COMPETITOR")), "rank", "betweenness"),
     "joi16_typed_paths": typed_paths,
     "sim07_risk_pairs": lambda g: _rounded(catalogue.risk_pairs(g), "score"),

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerweb import queries
 from ledgerweb.functions import resolution
 from ledgerweb.graph import BusinessGraph, blank_to_null, duplicate_keys, undirected
 from ledgerweb.operators import algorithms, paths, similarity
@@ -148,3 +149,27 @@ def test_flagship(spark, sf):
     from ledgerweb.plans.catalogue import market_leaders
 
     assert market_leaders(BusinessGraph(spark, sf)).count() == 10
+
+
+def test_adoption_of_every_technology_that_at_most_half_use(spark, sf):
+    """By brute force: ranks of each target by itself, the 50 likeliest domains of each."""
+    uses = BusinessGraph(spark, sf).uses.toPandas()
+    of = {d: set(x) for d, x in uses.groupby("domain").technology}
+    names = sorted(set(uses.technology))
+    holds = np.array([[t in of[d] for t in names] for d in sorted(of)], float)
+    co = holds.T @ holds
+    np.fill_diagonal(co, 0)
+    share = co / np.maximum(co.sum(axis=1, keepdims=True), 1)
+    want = {}
+    for j in np.flatnonzero(holds.sum(axis=0) <= 0.5 * len(of)):
+        restart = 0.15 * np.eye(len(names))[j]
+        rank = restart
+        for _ in range(20):
+            rank = restart + 0.85 * rank @ share
+        score = (holds * rank).max(axis=1) * (1 + np.log(holds.sum(axis=1) + 1))
+        want[names[j]] = sorted(np.round(score[holds[:, j] == 0], 6), reverse=True)[:50]
+    got = queries.queries()["gra06_all_adoption"](spark, sf).toPandas()
+    assert set(got.technology) == set(want) and len({t.split("/")[0] for t in want}) > 1
+    for t, rows in got.groupby("technology"):
+        assert sorted(rows.score, reverse=True) == pytest.approx(want[t], abs=2e-6)
+        assert rows.domain.is_unique and not any(t in of[d] for d in rows.domain)
