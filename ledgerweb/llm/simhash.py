@@ -6,7 +6,8 @@ weight that shrinks with the text's length.  Each term's hash votes with its wei
 bit.  Fingerprints at
 most ``RADIUS`` bits apart agree in one of ``RADIUS + 1`` blocks whole, so each table holds the
 fingerprints with another block permuted to the front as its key, and a probe compares whole
-fingerprints under an equal key.  Equal fingerprints are one row of a table.
+fingerprints under an equal key; the first block in which two agree gives the pair.  Equal
+fingerprints are one row of a table.
 
 Every document is also compared with an edited self (its last quarter replaced by the start of
 the next document by doc_id) and with that next document.  Documents are dealt by ranges of
@@ -37,7 +38,8 @@ from .minhash import K, _mix, folded_words
 from .substring import rolling, word_hashes
 
 BITS = 128
-RADIUS = 3
+#: Near copies are texts that share 98 % of their terms, about 6 bits apart.
+RADIUS = 7
 #: Weight that all single words of a text share, and the length in words from which it is 0.
 WORD_WEIGHT, FEW_WORDS = 8.0, 200
 #: Every 20th id asks for the documents within the radius of its fingerprint.
@@ -132,7 +134,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return walked.where("kind = 0").select(*_OUT).unionByName(ends.mapInArrow(finish, _DDL))
 
 
-def within_radius(asked: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+def within_radius(asked: DataFrame, prints: DataFrame, radius: int = 3) -> DataFrame:
     """(asked, found): every distinct fingerprint of ``prints`` at most ``radius`` bits from one asked for.
 
     Both are tables of distinct hexadecimal ``fingerprint``.
@@ -148,8 +150,9 @@ def within_radius(asked: DataFrame, prints: DataFrame, radius: int = RADIUS) ->
 
     a, f = tables(asked, "asked"), tables(prints, "found").withColumnsRenamed({"t": "u", "key": "other"})
     apart = " + ".join(f"bit_count(asked{i} ^ found{i})" for i in range(BITS // 64))
-    pairs = a.join(f, (F.col("t") == F.col("u")) & (F.col("key") == F.col("other")) & F.expr(f"{apart} <= {radius}"))
-    return pairs.select("asked", "found").distinct()
+    first = " ".join(f"WHEN substring(asked, {1 + i * width}, {width}) = substring(found, {1 + i * width}, {width}) THEN {i}" for i in range(radius + 1))
+    pairs = a.join(f, (F.col("t") == F.col("u")) & (F.col("key") == F.col("other")) & F.expr(f"{apart} <= {radius}") & F.expr(f"t = CASE {first} END"))
+    return pairs.select("asked", "found")
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
@@ -158,7 +161,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     groups = prints.groupBy("fingerprint").agg(F.count("*").alias("n"))
     asks = F.coalesce(F.col("doc_id") % ASK == 0, F.lit(False))
     asked = prints.where(asks).select("fingerprint").distinct()
-    pairs = within_radius(asked, groups.select("fingerprint"))
+    pairs = within_radius(asked, groups.select("fingerprint"), RADIUS)
     near = pairs.join(groups.withColumnRenamed("fingerprint", "found"), "found").groupBy("asked").agg((F.sum("n") - 1).alias("near_docs"))
     answered = prints.where(asks).join(near, F.col("fingerprint") == F.col("asked")).select(*_OUT, "near_docs")
     return prints.where(~asks).select(*_OUT, F.lit(None).cast("long").alias("near_docs")).unionByName(answered)

@@ -266,3 +266,17 @@ def test_stage_keeps_rows_without_an_id(spark):
     d = spark.createDataFrame([(None, t, "en", None, None), (None, u, "en", None, None), (4, t, None, None, None), (5, t, None, None, None), (5, u + " x", None, None, None)], SCHEMA)
     got = sorted((str(r.doc_id), r.text) for r in minhash.near_duplicate_stage(d).collect())
     assert got == sorted([("None", t), ("None", u), ("4", t), ("5", t), ("5", u + " x")])
+
+
+def test_radius_of_near_copies(spark):
+    """Of texts of 400 words with one word changed, more than half lie within the radius; none of other texts does."""
+    texts, near = [], []
+    for i in range(100):
+        w = prose(i, 400)
+        texts += [" ".join(w), " ".join([*w[:200], f"other{i}", *w[201:]])]
+        a, b = map(simhash.fingerprint, texts[-2:])
+        near.append(simhash.likeness(a, b) >= 1 - simhash.RADIUS / simhash.BITS)
+    assert np.mean(near) > 0.5
+    rows = spark.createDataFrame([(20 * i, t, "en", None, None) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id // 20: r.near_docs for r in simhash.document_fingerprints(rows).collect()}
+    assert got == {i: int(near[i // 2]) for i in range(200)}
