@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut, delete_path, fresh_path, shared_dir
+from ..session import cut, delete_path, fresh_path, release, scratch, shared_dir
 
-__all__ = ["crc_of_id", "cut", "delete_path", "fresh_path", "partitions", "shared_dir", "small_batches"]
+__all__ = ["crc_of_id", "cut", "delete_path", "fresh_path", "partitions", "release", "scratch", "shared_dir", "small_batches"]
 
 #: Rows that go to a Python worker at once; whole texts can be long.
 BATCH_ROWS = 1000

@@ -10,18 +10,24 @@ document's non-overlapping 18-word blocks (2 * 18 - 1 = 35).  So
    hashes are compared among all documents; the windows that agree with another one, joined
    where they overlap, are the maximal exact repeats, and their words go.
 
-Documents are handled in chunks of neighbouring rows of their file.  What is sent for a chunk
-is, for each hash bucket, one sorted list of its distinct hashes (about 4 bytes each, with a
-bit for "twice in this chunk" and one for "a block starts here"), so a passage that thousands of
-documents share is one entry a chunk.  Buckets and chunks have bounded sizes, whatever repeats.
+Documents are handled in chunks of neighbouring rows of their file, bounded by bytes: longer
+texts share a chunk with fewer others, so that only a single text can be larger.  What is sent
+for a chunk is, for each hash bucket, one sorted list of its distinct hashes (about 4 bytes each,
+with a bit for "twice in this chunk" and one for "a block starts here"), so a passage that
+thousands of documents share is one entry a chunk.  The number of buckets follows from the bytes
+of all texts, so a bucket has a bounded size too, whatever repeats.
+
+Windows are compared by 126 bits of two hashes that share nothing, made from separate hashes of
+the words: with 1e12 windows the chance that any two unlike ones agree is about 1e-14.
 
 Defined results
 * words are the runs of anything but ASCII white space; null text has none
 * a document under 35 words keeps all its words and makes none repeat
 * a window that occurs twice in one document is a repeat; repeated rows repeat each other
+* null and repeated ids: each row stands for itself, ids only label the result
+* a very long text is one row of its own chunk, held whole by one task and never cut
+* columns to keep may be called anything; a column named as a result comes with the row
 * empty table: no rows
-
-The last comparison is by 62 bits of a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -37,15 +43,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, partitions, small_batches
+from .common import cut, release, small_batches
 
 WINDOW = 35
 BLOCK = (WINDOW + 1) // 2
-#: Neighbouring rows of one file that are handled together.
-CHUNK_ROWS = 1024
+#: Bytes of text of one chunk, about, and the most rows that make one.
+CHUNK_BYTES, CHUNK_ROWS = 2_000_000, 8192
+#: Bytes of text for each hash bucket: about a million hashes.
+BUCKET_BYTES = 6_000_000
 #: Words of one chunk whose hashes a worker holds before it sends them.
 SEND_AT = 2_000_000
-#: Bits of a hash that are sent beside its bucket: to find anchors, and to compare windows.
+#: Bits of a hash that are sent beside its bucket to find anchors, and of the first hash of a window.
 ANCHOR_BITS, WINDOW_BITS = 34, 62
 
 _BASE = 0x9E3779B97F4A7C15
@@ -70,6 +78,11 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
+def second_hashes(words: list[bytes]) -> np.ndarray:
+    """Hashes of words that have nothing to do with ``word_hashes``."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
     """A 64-bit hash of each run of ``width`` words, by its start."""
     n = len(hashes)
@@ -89,44 +102,67 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (hashes >> np.uint64(40)) % np.uint64(buckets)
 
 
-def sent_keys(hashes: np.ndarray, buckets: int, bits: int) -> np.ndarray:
-    """What stands for a hash once its bucket is known to both sides."""
-    low = hashes & np.uint64((1 << bits) - 1)
-    return low if bits == WINDOW_BITS else _bucket(hashes, buckets) << np.uint64(bits) | low
+def anchor_keys(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """What stands for the hash of a block: its bucket and its low bits."""
+    return _bucket(hashes, buckets) << np.uint64(ANCHOR_BITS) | hashes & np.uint64((1 << ANCHOR_BITS) - 1)
+
+
+def window_keys(words: list[bytes], at: np.ndarray) -> np.ndarray:
+    """Two hashes of each window that starts ``at`` a word, as rows."""
+    first = rolling(word_hashes(words), WINDOW)[at] & np.uint64((1 << WINDOW_BITS) - 1)
+    return np.stack([first, rolling(second_hashes(words), WINDOW)[at]], axis=1)
 
 
-def send(chunk: int, hashes: np.ndarray, is_block: np.ndarray, buckets: int, bits: int) -> Iterator[tuple[int, int, bytes]]:
+def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(bucket, from, to) of each run of a sorted array."""
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(1, int)
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield int(bucket[a]), a, b
+
+
+def send_blocks(chunk: int, hashes: np.ndarray, is_block: np.ndarray, buckets: int) -> Iterator[tuple[int, int, bytes]]:
     """(bucket, chunk, list) for every bucket that has hashes of this chunk."""
-    bucket, low = _bucket(hashes, buckets), hashes & np.uint64((1 << bits) - 1)
-    if bits == ANCHOR_BITS:
-        packed = np.sort(bucket << np.uint64(bits + 1) | low << np.uint64(1) | is_block)
-        is_block = packed & np.uint64(1)
-        packed >>= np.uint64(1)
-        bucket, low = packed >> np.uint64(bits), packed & np.uint64((1 << bits) - 1)
-    else:
-        order = np.lexsort((low, bucket))
-        bucket, low, is_block = bucket[order], low[order], is_block[order]
-    starts = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (bucket[1:] != bucket[:-1])]))
-    twice = (np.diff(np.append(starts, len(low))) > 1).astype(np.uint64)
+    packed = np.sort(anchor_keys(hashes, buckets) << np.uint64(1) | is_block)
+    is_block = packed & np.uint64(1)
+    packed >>= np.uint64(1)
+    starts = np.flatnonzero(np.concatenate([[True], packed[1:] != packed[:-1]]))
+    twice = (np.diff(np.append(starts, len(packed))) > 1).astype(np.uint64)
     flags = twice << np.uint64(1) | np.maximum.reduceat(is_block, starts)
-    bucket, low = bucket[starts], low[starts]
-    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+    packed = packed[starts]
+    low = packed & np.uint64((1 << ANCHOR_BITS) - 1)
+    for bucket, a, b in _by_bucket(packed >> np.uint64(ANCHOR_BITS)):
         steps = np.diff(low[a:b], prepend=np.uint64(0))
         if steps.max() < 1 << 30:
             data = b"4" + (steps << np.uint64(2) | flags[a:b]).astype("<u4").tobytes()
         else:
             data = b"8" + (low[a:b] << np.uint64(2) | flags[a:b]).astype("<u8").tobytes()
-        yield int(bucket[a]), chunk, data
+        yield bucket, chunk, data
 
 
-def _received(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of a list and their flags."""
+def received_blocks(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a list and their flags: 1 a block starts here, 2 twice in its chunk."""
     x = np.frombuffer(data, f"<u{data[:1].decode()}", offset=1).astype(np.uint64)
     low = x >> np.uint64(2)
     return np.cumsum(low, dtype=np.uint64) if data[:1] == b"4" else low, x & np.uint64(3)
 
 
+def distinct_windows(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct windows of a chunk in the order in which they are sent, their buckets, and which are there twice."""
+    bucket = _bucket(keys[:, 0], buckets)
+    order = np.lexsort((keys[:, 1], keys[:, 0], bucket))
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
+    return keys[starts], bucket[order[starts]], np.diff(np.append(starts, len(keys))) > 1
+
+
+def send_windows(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, list) for every bucket that has windows of a chunk; the first hash carries whether it is there twice."""
+    keys, bucket, twice = distinct_windows(keys, buckets)
+    keys[:, 0] = keys[:, 0] << np.uint64(1) | twice
+    for b, x, y in _by_bucket(bucket):
+        yield b, keys[x:y].astype("<u8").tobytes()
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
@@ -135,11 +171,11 @@ _LISTS = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("data", pa.b
 _HOT = pa.schema([("chunk", pa.int64()), ("hot", pa.binary())])
 
 
-def shared_keys(lists: DataFrame, bits: int) -> DataFrame:
+def shared_blocks(lists: DataFrame) -> DataFrame:
     """(chunk, hot): of each chunk's keys those that match a block and occur at least twice."""
 
     def find(table: pa.Table) -> pa.Table:
-        found = [_received(x) for x in table.column("data").to_pylist()]
+        found = [received_blocks(x) for x in table.column("data").to_pylist()]
         low, flags = (np.concatenate([x[i] for x in found]) for i in (0, 1))
         of = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
         order = np.argsort(low, kind="stable")
@@ -148,22 +184,32 @@ def shared_keys(lists: DataFrame, bits: int) -> DataFrame:
         sizes = np.diff(np.append(starts, len(low)))
         any_flag = np.bitwise_or.reduceat(flags, starts)
         hot = np.repeat((any_flag & np.uint64(1) > 0) & ((sizes > 1) | (any_flag > np.uint64(1))), sizes)
-        low, of = low[hot], of[hot]
-        if bits == ANCHOR_BITS:
-            low = np.uint64(table.column("bucket")[0].as_py() << bits) | low
+        low, of = np.uint64(table.column("bucket")[0].as_py() << ANCHOR_BITS) | low[hot], of[hot]
         order = np.argsort(of, kind="stable")
-        low, of = low[order], of[order]
-        edges = np.flatnonzero(np.concatenate([[len(of) > 0], of[1:] != of[:-1], [True]])) if len(of) else [0]
         chunks = table.column("chunk").to_pylist()
-        rows = [(chunks[of[a]], low[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
-        return pa.Table.from_batches([_batch(rows, _HOT)], _HOT)
+        return pa.Table.from_batches([_batch([(chunks[i], low[order[a:b]].tobytes()) for i, a, b in _by_bucket(of[order])], _HOT)], _HOT)
 
     return lists.groupBy("bucket").applyInArrow(find, "chunk long, hot binary")
 
 
-def _hot_keys(table: pa.Table) -> np.ndarray:
-    data = [np.frombuffer(x, np.uint64) for x in table.column("hot").to_pylist()]
-    return np.unique(np.concatenate(data)) if data else np.empty(0, np.uint64)
+def shared_windows(lists: DataFrame) -> DataFrame:
+    """(chunk, bucket, data): of each list a bit for every window, set if it occurs at least twice."""
+
+    def find(table: pa.Table) -> pa.Table:
+        found = [np.frombuffer(x, "<u8").reshape(-1, 2).astype(np.uint64) for x in table.column("data").to_pylist()]
+        keys, ends = np.concatenate(found), np.cumsum(list(map(len, found)))
+        twice = keys[:, 0] & np.uint64(1)
+        keys[:, 0] >>= np.uint64(1)
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
+        keys, twice = keys[order], twice[order]
+        starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
+        sizes = np.diff(np.append(starts, len(keys)))
+        hot = np.zeros(len(keys), bool)
+        hot[order] = np.repeat((sizes > 1) | (np.maximum.reduceat(twice, starts) > 0), sizes)
+        bits = [np.packbits(h).tobytes() for h in np.split(hot, ends[:-1])]
+        return pa.table([table.column("chunk"), table.column("bucket"), pa.array(bits, pa.binary())], names=["chunk", "bucket", "data"])
+
+    return lists.groupBy("bucket").applyInArrow(find, "chunk long, bucket long, data binary")
 
 
 def _among(keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
@@ -172,8 +218,22 @@ def _among(keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return hot[np.minimum(np.searchsorted(hot, keys), len(hot) - 1)] == keys
 
 
-def in_chunks(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs`` with __chunk, the same at every reading of the same rows."""
+def _windows_among(keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which rows of ``keys`` are rows of ``hot``, which is sorted and has each once."""
+    found = np.zeros(len(keys), bool)
+    if not len(hot):
+        return found
+    at = np.searchsorted(hot[:, 0], keys[:, 0])
+    while len(todo := np.flatnonzero(~found & (at < len(hot)))):
+        same = hot[at[todo], 0] == keys[todo, 0]
+        found[todo[same & (hot[at[todo], 1] == keys[todo, 1])]] = True
+        at[todo] = np.where(same, at[todo] + 1, len(hot))
+    return found
+
+
+def in_chunks(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, int]:
+    """``columns`` of ``docs`` with __chunk and __row, its number in its file, the same at every reading of
+    the same rows, and __kind, which grows with the text's length; and the bytes of all texts."""
     where = ["_metadata.file_path", "_metadata.row_index"]
     try:
         if "_metadata" in docs.columns:
@@ -181,116 +241,120 @@ def in_chunks(docs: DataFrame, columns: list[str]) -> DataFrame:
         docs.select(*where)
     except AnalysisException:
         docs = cut(docs.select(*columns), "documents")
-    return docs.select(*columns, F.xxhash64(F.col(where[0]), F.floor(F.col(where[1]) / CHUNK_ROWS)).alias("__chunk"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    rows, total = docs.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    mean = max(1, total // max(1, rows))
+    most = max(1, min(CHUNK_ROWS, CHUNK_BYTES // mean))
+    # texts of up to 8 times the mean share chunks of ``most`` rows, those of up to 16 times of half as many, and so on
+    kind = F.greatest(F.lit(0), F.floor(F.log2((size + 1) / float(mean))).cast("int") - 2)
+    take = F.greatest(F.lit(1), F.floor(F.lit(most) / F.pow(F.lit(2.0), kind))).cast("long")
+    chunk = F.xxhash64(F.col(where[0]), kind, F.floor(F.col(where[1]) / take))
+    return docs.select(*columns, chunk.alias("__chunk"), F.col(where[1]).alias("__row"), kind.alias("__kind")), int(total)
 
 
 def drop_repeats(docs: DataFrame, keep: list[str], with_text: bool = False) -> DataFrame:
     """``keep`` columns of ``docs``, n_words, n_removed, kept_sha256 and, if asked for, the text
     without its repeats (its kept words joined by one space, or the text itself if all are)."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    buckets = 2 * partitions(spark)
+    small_batches(docs.sparkSession)
     # own names inside: a column to keep may be called anything
     inner = [f"__k{i}" for i in range(len(keep))]
-    source = in_chunks(docs.select(*keep, "text") if "text" not in keep else docs, [*keep, "text"])
-    source = source.select(F.col("__chunk").alias("chunk"), *(F.col(k).alias(n) for k, n in zip(keep, inner)), F.col("text").alias("__text"))
+    source, total = in_chunks(docs.select(*keep, "text") if "text" not in keep else docs, [*keep, "text"])
+    buckets = 1 + total // BUCKET_BYTES
+    source = source.select(F.col("__chunk").alias("chunk"), F.col("__row").alias("row"), F.col("__kind").alias("kind"), *(F.col(k).alias(n) for k, n in zip(keep, inner)), F.col("text").alias("__text"))
     kept_fields = [T.StructField(n, source.schema[n].dataType) for n in inner]
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, held, size = None, [], 0
+        open_chunks: dict[int, list] = {}  # of each kind: chunk, hashes, words
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def flush(chunk: int, held: list[np.ndarray], _: int) -> Iterator[pa.RecordBatch]:
             if held:
                 hashes = np.concatenate(held)
                 blocks = np.concatenate([(np.arange(len(h)) % BLOCK == 0).astype(np.uint64) for h in held])
-                yield _batch(list(send(chunk, hashes, blocks, buckets, ANCHOR_BITS)), _LISTS)
+                yield _batch(list(send_blocks(chunk, hashes, blocks, buckets)), _LISTS)
 
         for b in batches:
-            for c, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if c != chunk or size > SEND_AT:
-                    yield from flush()
-                    chunk, held, size = c, [], 0
+            for c, kind, text in zip(*(x.to_pylist() for x in b.columns)):
+                state = open_chunks.setdefault(kind, [c, [], 0])
+                if c != state[0] or state[2] > SEND_AT:
+                    yield from flush(*state)
+                    state[:] = [c, [], 0]
                 words = words_of(text)
                 if len(words) >= WINDOW:
-                    held.append(rolling(word_hashes(words), BLOCK))
-                    size += len(words)
-        yield from flush()
+                    state[1].append(rolling(word_hashes(words), BLOCK))
+                    state[2] += len(words)
+        for state in open_chunks.values():
+            yield from flush(*state)
 
-    lists = source.select("chunk", "__text").mapInArrow(probe, "bucket long, chunk long, data binary")
-    anchors = shared_keys(lists, ANCHOR_BITS)
-
-    result = [T.StructField("__n_words", T.LongType()), T.StructField("__n_removed", T.LongType()), T.StructField("__sha", T.StringType()), T.StructField("__text", T.StringType())]
-    middle = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("chunk", T.LongType()), T.StructField("bucket", T.LongType()), T.StructField("data", T.BinaryType()), *kept_fields, *result])
-    middle_names = [f.name for f in middle.fields]
-
-    def outcome(text: str | None, words: list[bytes], gone: np.ndarray | None) -> tuple:
-        kept = words if gone is None else [w for w, g in zip(words, gone.tolist()) if not g]
-        joined = b" ".join(kept)
-        removed = len(words) - len(kept)
-        shown = (joined.decode("utf-8", "surrogatepass") if removed else text) if with_text else None
-        return len(words), removed, hashlib.sha256(joined).hexdigest(), shown
-
-    def assemble(table: pa.Table, rows: list[int], values: list[tuple], names: list[str], types: list) -> pa.Table:
-        own = table.select(inner).take(pa.array(rows, pa.int64()))
-        return pa.Table.from_arrays([*(pa.array([v[i] for v in values], t) for i, t in enumerate(types)), *own.columns], [*names, *inner])
+    lists = source.select("chunk", "kind", "__text").mapInArrow(probe, "bucket long, chunk long, data binary")
+    anchors = cut(shared_blocks(lists), "anchors")  # what the lists took goes before texts are dealt out
 
     def mark(table: pa.Table, hot_table: pa.Table) -> pa.Table:
-        """Finished documents (kind 0), documents with hits (2) and lists of their windows (1)."""
-        hot = _hot_keys(hot_table)
-        rows, values, windows = [], [], []
-        chunk = table.column("chunk")[0].as_py() if table.num_rows else None
-        for i, text in enumerate(table.column("__text").to_pylist()):
-            words = words_of(text)
-            hits = None
-            if len(words) >= WINDOW and len(hot):
-                hashes = word_hashes(words)
-                at = _among(sent_keys(rolling(hashes, BLOCK), buckets, ANCHOR_BITS), hot)
+        """Where documents have hits (row, data) and lists of their windows (bucket, data)."""
+        hot = np.unique(np.frombuffer(b"".join(hot_table.column("hot").to_pylist()), np.uint64))
+        out, windows = [], []
+        if len(hot):
+            for row, text in zip(table.column("row").to_pylist(), table.column("__text").to_pylist()):
+                words = words_of(text)
+                if len(words) < WINDOW:
+                    continue
+                at = _among(anchor_keys(rolling(word_hashes(words), BLOCK), buckets), hot)
                 if at.any():
                     hits = np.lib.stride_tricks.sliding_window_view(at, WINDOW - BLOCK + 1).any(axis=1)
-            rows.append(i)
-            if hits is None:
-                values.append((0, chunk, None, None, *outcome(text, words, None)))
-            else:
-                values.append((2, chunk, None, np.packbits(hits).tobytes(), None, None, None, text))
-                windows.append(rolling(hashes, WINDOW)[hits])
+                    out.append((row, None, np.packbits(hits).tobytes()))
+                    windows.append(window_keys(words, np.flatnonzero(hits)))
         if windows:
-            hashes = np.concatenate(windows)
-            for bucket, c, data in send(chunk, hashes, np.ones(len(hashes), np.uint64), buckets, WINDOW_BITS):
-                rows.append(None)
-                values.append((1, c, bucket, data, None, None, None, None))
-        names = ["kind", "chunk", "bucket", "data", "__n_words", "__n_removed", "__sha", "__text"]
-        types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        return assemble(table, rows, values, names, types).select(middle_names)
-
-    halfway = source.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(mark, middle)
-    halfway = cut(halfway, "halfway")
-    repeats = shared_keys(halfway.where("kind = 1").select("bucket", "chunk", "data"), WINDOW_BITS)
+            out += [(None, bucket, data) for bucket, data in send_windows(np.concatenate(windows), buckets)]
+        chunk = table.column("chunk")[0] if table.num_rows else None
+        return pa.table([pa.array([chunk.as_py()] * len(out) if out else [], pa.int64()), *(pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary())))], names=["chunk", "row", "bucket", "data"])
+
+    texts = source.select("chunk", "row", "__text")
+    marked = cut(texts.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(mark, "chunk long, row long, bucket long, data binary"), "marked")
+    release(anchors)
+    # the windows go as soon as their answers are there: a bit for each
+    answers = shared_windows(marked.where("bucket is not null").select("bucket", "chunk", "data"))
+    answers = cut(marked.where("row is not null").unionByName(answers, allowMissingColumns=True), "answers")
+    release(marked)
+
+    result = [T.StructField("__n_words", T.LongType()), T.StructField("__n_removed", T.LongType()), T.StructField("__sha", T.StringType()), T.StructField("__shown", T.StringType())]
     final = T.StructType([*kept_fields, *result])
-    final_names = [f.name for f in final.fields]
 
-    def remove(table: pa.Table, hot_table: pa.Table) -> pa.Table:
-        hot = _hot_keys(hot_table)
+    def finish(table: pa.Table, told: pa.Table) -> pa.Table:
+        row, bucket, data = (told.column(c).to_pylist() for c in ("row", "bucket", "data"))
+        hits = {r: x for r, x in zip(row, data) if r is not None}
+        at_of, keys_of = {}, {}
+        texts = table.column("__text").to_pylist()
+        for i, (r, text) in enumerate(zip(table.column("row").to_pylist(), texts)):
+            if r in hits:
+                words = words_of(text)
+                at_of[i] = np.flatnonzero(np.unpackbits(np.frombuffer(hits[r], np.uint8), count=len(words) - WINDOW + 1))
+                keys_of[i] = window_keys(words, at_of[i])
+        hot = np.empty((0, 2), np.uint64)
+        if keys_of:
+            keys, of, _ = distinct_windows(np.concatenate(list(keys_of.values())), buckets)
+            bits = dict(zip(bucket, data))
+            again = [np.unpackbits(np.frombuffer(bits[b], np.uint8), count=y - x) > 0 for b, x, y in _by_bucket(of)]
+            hot = keys[np.concatenate(again)]
+            hot = hot[np.lexsort((hot[:, 1], hot[:, 0]))]
         values = []
-        for text, hits in zip(table.column("__text").to_pylist(), table.column("data").to_pylist()):
-            words = words_of(text)
-            starts = len(words) - WINDOW + 1
-            at = np.flatnonzero(np.unpackbits(np.frombuffer(hits, np.uint8), count=starts))
-            windows = rolling(word_hashes(words), WINDOW)[at]
-            at = at[_among(sent_keys(windows, buckets, WINDOW_BITS), hot)]
-            edge = np.zeros(len(words) + 1, np.int64)
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + WINDOW, -1)
-            values.append(outcome(text, words, np.cumsum(edge[:-1]) > 0))
-        types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
-        return assemble(table, list(range(table.num_rows)), values, [f.name for f in result], types).select(final_names)
-
-    unfinished = halfway.where("kind = 2").select("chunk", "data", *inner, "__text")
-    done = unfinished.groupBy("chunk").cogroup(repeats.groupBy("chunk")).applyInArrow(remove, final)
-    both = halfway.where("kind = 0").select(*final_names).unionByName(done)
+        for i, text in enumerate(texts):
+            kept = words = words_of(text)
+            if i in at_of:
+                at = at_of[i][_windows_among(keys_of[i], hot)]
+                edge = np.zeros(len(words) + 1, np.int64)
+                np.add.at(edge, at, 1)
+                np.add.at(edge, at + WINDOW, -1)
+                kept = [w for w, g in zip(words, (np.cumsum(edge[:-1]) > 0).tolist()) if not g]
+            joined, removed = b" ".join(kept), len(words) - len(kept)
+            shown = (joined.decode("utf-8", "surrogatepass") if removed else text) if with_text else None
+            values.append((len(words), removed, hashlib.sha256(joined).hexdigest(), shown))
+        types = pa.int64(), pa.int64(), pa.string(), pa.string()
+        return pa.table([*(table.column(n) for n in inner), *(pa.array([v[i] for v in values], t) for i, t in enumerate(types))], names=[f.name for f in final.fields])
+
+    done = source.drop("kind").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, final)
     out = [F.col(n).alias(k) for k, n in zip(keep, inner)]
     if with_text:
-        return both.select(*out, F.col("__text").alias("text"))
-    return both.select(*out, F.col("__n_words").alias("n_words"), F.col("__n_removed").alias("n_removed"), F.col("__sha").alias("kept_sha256"))
+        return done.select(*out, F.col("__shown").alias("text"))
+    return done.select(*out, F.col("__n_words").alias("n_words"), F.col("__n_removed").alias("n_removed"), F.col("__sha").alias("kept_sha256"))
 
 
 def substring_stage(docs: DataFrame) -> DataFrame:
