@@ -14,9 +14,14 @@ A shard holds documents in ascending order of their key::
 A value is the document's ids, end id included, as little-endian integers of the footer's width.
 A lookup reads the footer, asks the Bloom filter, binary-searches the index and reads one block.
 
+A task writes its range of ids as shards of about ``SHARD_BYTES``, so what a shard's writer and
+reader hold (index, Bloom filter, one block) has a bound however many rows a range has.
+
 Defined results
 * null text: the end id alone; empty table: no shards, no rows
 * null id: its own key, which sorts first; repeated ids: all kept, in order of their texts' hashes
+* a very long text is one entry, whole, in a block of its own size
+* columns beside doc_id and text are not looked at, whatever their names
 """
 
 from __future__ import annotations
@@ -25,7 +30,9 @@ import bisect
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +46,10 @@ from .common import cut, fresh_path, partitions, small_batches
 from .tokens import END, encoder
 
 BLOCK_BYTES = 64 * 1024
+#: A shard ends with the first block beyond this.
+SHARD_BYTES = 256 * 1024 * 1024
+#: Rows that go back to Spark at once.
+READ_ROWS = 10_000
 BLOOM_BITS_PER_KEY = 10
 BLOOM_HASHES = 7
 FOOTER = struct.Struct("<QQQQQQQB7s")
@@ -75,8 +86,8 @@ def _read_varint(data: bytes, at: int) -> tuple[int, int]:
         shift += 7
 
 
-def _bloom_bits(key: bytes, bits: int) -> list[int]:
-    h = xxhash.xxh64_intdigest(key)
+def _bloom_bits(h: int, bits: int) -> list[int]:
+    """Bits of a key's hash."""
     step = (h >> 32) | 1
     return [(h + i * step) % bits for i in range(BLOOM_HASHES)]
 
@@ -87,7 +98,7 @@ class ShardWriter:
     def __init__(self, out, width: int = 2):
         self.out, self.width = out, width
         self.at = self.docs = self.ids = 0
-        self.block, self.last, self.index, self.keys = bytearray(), b"", [], []
+        self.block, self.last, self.index, self.hashes = bytearray(), b"", [], array("Q")
         self.begun: tuple[bytes, int, int] | None = None
 
     def add(self, key: bytes, ids: bytes) -> None:
@@ -99,7 +110,7 @@ class ShardWriter:
         shared = len(os.path.commonprefix([self.last, key]))
         self.block += _varint(shared) + _varint(len(key) - shared) + _varint(len(value)) + key[shared:] + value
         self.last = key
-        self.keys.append(key)
+        self.hashes.append(xxhash.xxh64_intdigest(key))
         self.docs += 1
         self.ids += len(values)
         if len(self.block) >= BLOCK_BYTES:
@@ -116,10 +127,10 @@ class ShardWriter:
     def close(self) -> None:
         self._end_block()
         index = b"".join(self.index)
-        bits = max(64, BLOOM_BITS_PER_KEY * len(self.keys) + 7 & ~7)
+        bits = max(64, BLOOM_BITS_PER_KEY * len(self.hashes) + 7 & ~7)
         bloom = bytearray(bits // 8)
-        for key in self.keys:
-            for b in _bloom_bits(key, bits):
+        for h in self.hashes:
+            for b in _bloom_bits(h, bits):
                 bloom[b >> 3] |= 1 << (b & 7)
         self.out.write(index)
         self.out.write(bytes(bloom))
@@ -178,7 +189,7 @@ class Shard:
 
     def may_hold(self, key: bytes) -> bool:
         bits = 8 * len(self.bloom)
-        return all(self.bloom[b >> 3] >> (b & 7) & 1 for b in _bloom_bits(key, bits))
+        return all(self.bloom[b >> 3] >> (b & 7) & 1 for b in _bloom_bits(xxhash.xxh64_intdigest(key), bits))
 
     def get(self, key: bytes) -> np.ndarray | None:
         """Ids of the first document with this key."""
@@ -199,7 +210,7 @@ def open_shard(uri: str) -> Shard:
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None) -> DataFrame:
-    """Write ``docs`` range by range; returns the manifest (shard, uri, docs, ids, first, last).
+    """Write ``docs`` range by range; returns the manifest (part, shard, uri, docs, ids, first, last).
 
     A file carries its task attempt in its name and only the manifest of the attempt that Spark
     commits points at it, so a repeated task leaves at most a file that nobody reads.
@@ -208,38 +219,48 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None) ->
     small_batches(spark)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, writer, first, key = encoder(tokenizer), None, None, None
+        enc, writer, out, first, key, done = encoder(tokenizer), None, None, None, None, 0
         task = TaskContext.get()
         store, path = pafs.FileSystem.from_uri(folder)
-        name = f"shard-{task.partitionId():06d}-{task.taskAttemptId()}.sst"
         width = 2 if enc.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+
+        def name() -> str:
+            return f"shard-{task.partitionId():06d}-{done:06d}-{task.taskAttemptId()}.sst"
+
+        def finished() -> pa.RecordBatch:
+            writer.close()
+            out.close()
+            row = task.partitionId(), done, f"{folder}/{name()}", writer.docs, writer.ids, first, key
+            return pa.RecordBatch.from_arrays([pa.array([v], pa.string() if isinstance(v, str) else pa.int64()) for v in row], ["part", "shard", "uri", "docs", "ids", "first", "last"])
+
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if writer is not None and writer.at >= SHARD_BYTES:
+                    yield finished()
+                    writer, done = None, done + 1
                 if writer is None:
                     store.create_dir(path, recursive=True)
-                    out = store.open_output_stream(f"{path}/{name}")
+                    out = store.open_output_stream(f"{path}/{name()}")
                     writer, first = ShardWriter(out, width), doc_id
                 writer.add(key_of(doc_id), enc.encode(text) + END)
                 key = doc_id
         if writer is not None:
-            writer.close()
-            out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()], pa.int64()), pa.array([f"{folder}/{name}"]), pa.array([writer.docs], pa.int64()), pa.array([writer.ids], pa.int64()), pa.array([first], pa.int64()), pa.array([key], pa.int64())], ["shard", "uri", "docs", "ids", "first", "last"])
+            yield finished()
 
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
         .repartitionByRange(partitions(spark), "doc_id", "h").sortWithinPartitions("doc_id", "h")
     )
-    return cut(ordered.select("doc_id", "text").mapInArrow(write, "shard long, uri string, docs long, ids long, first long, last long"), "manifest")
+    return cut(ordered.select("doc_id", "text").mapInArrow(write, "part long, shard long, uri string, docs long, ids long, first long, last long"), "manifest")
 
 
 def read_shards(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files alone.
 
-    The driver sees one manifest row for each file.
+    The driver sees one manifest row for each file, of which there is one for each range and ``SHARD_BYTES``.
     """
     shards, before = [], 0
-    for r in sorted(manifest.collect(), key=lambda r: r.shard):
+    for r in sorted(manifest.collect(), key=lambda r: (r.part, r.shard)):
         shards.append((r.uri, before))
         before += r.ids
 
@@ -247,8 +268,9 @@ def read_shards(spark: SparkSession, manifest: DataFrame) -> DataFrame:
         for b in batches:
             for i in b.column(0).to_pylist():
                 uri, base = shards[i]
-                rows = [(id_of(key), base + at, len(ids), zlib.crc32(ids.tobytes())) for key, at, ids in open_shard(uri).scan()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                rows = ((id_of(key), base + at, len(ids), zlib.crc32(ids.tobytes())) for key, at, ids in open_shard(uri).scan())
+                while some := list(islice(rows, READ_ROWS)):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*some)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = len(shards)
     return spark.range(0, n, 1, max(1, n)).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
@@ -256,7 +278,7 @@ def read_shards(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
 def lookup(manifest: DataFrame, doc_id: int) -> np.ndarray | None:
     """Ids of one document by binary search: manifest range, Bloom filter, block index, block."""
-    for r in manifest.where((F.col("first") <= doc_id) & (F.col("last") >= doc_id)).orderBy("shard").collect():
+    for r in manifest.where((F.col("first") <= doc_id) & (F.col("last") >= doc_id)).orderBy("part", "shard").collect():
         if (ids := open_shard(r.uri).get(key_of(doc_id))) is not None:
             return ids
     return None
