@@ -11,7 +11,10 @@ lowest; statistics and scores cover all documents.
 Defined results
 * null or empty text: all statistics 0, scored by the same rules
 * no usable label: every score is 0.5; labels of one kind only: the smoothed share of them
-* rows of one id are scored each; null ids and labels teach nothing
+* rows of one id are scored each and all teach, up to ``FIT_ROWS``; null ids and labels teach nothing
+* equal values of a statistic are on the same side of a bound
+* a very long text is one row whose statistics are taken at once
+* columns beside doc_id and text are not looked at, whatever their names
 * empty table: no rows
 """
 
@@ -173,7 +176,8 @@ def learn(stats: DataFrame, labels: DataFrame, folds: int | None = 3, held_fold:
         known = known.where(crc_of_id() % folds != held_fold)
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(FIT_ROWS)
     names = [f"stat_{s}" for s in STATS]
-    rows = stats.join(sample, "doc_id").select("doc_id", "label", *names).collect()  # at most FIT_ROWS, but for repeated ids
+    rows = stats.join(sample, "doc_id").select("doc_id", "label", *names)
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "label", *names).limit(FIT_ROWS).collect()  # ids can repeat
     table = np.array(sorted(tuple(r) for r in rows), np.float64).reshape(-1, 2 + len(names))
     return fit(table[:, 2:], (table[:, 1] > 0).astype(np.float64))
 
