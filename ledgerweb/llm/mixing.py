@@ -1,25 +1,36 @@
 """Mixing documents to target domain weights, by soft membership.
 
 A table of labelled documents trains a small classifier: a Gaussian naive Bayes model over
-statistics of whole texts, some of them counts of words that are telling for one domain.  It
-gives every document its posterior over the domains.  Nonnegative rates r (expected copies) are
-then fitted so that the expected tokens of each domain meet their targets:
+statistics of whole texts, some of them counts of words that are telling for one domain.  Naive
+Bayes is far too sure of itself, so its answer (the best domain and by how much it leads) only
+picks one of a few cells, and a document's posterior over the domains is how the tokens of the
+labelled documents of its cell are shared among them: where one toxic document in thirty carries
+no telling word, documents without telling words are toxic with a posterior of that size.
+Nonnegative rates r (expected copies) are then fitted so that the expected tokens of each domain
+meet their targets:
 
     sum over documents of r * tokens * posterior  =  target weight * all tokens
 
 by projected gradient descent on the squared residuals, weighted by the inverse of the second
 moments of the posteriors, for which a step of 1 is safe.  A document's rate after any number
-of steps depends only on its posterior and the steps' residuals, a few numbers each, so a step
-is one aggregate over a slim table and no state but those numbers is kept.
+of steps depends only on its posterior and the steps' residuals, a few numbers each.  Tokens are
+added up for equal posteriors first, so a step is one aggregate over a slim table.
 
-Everything is DataFrame functions; the driver sees sums for each domain and a bounded lexicon.
+Everything is DataFrame functions; the driver sees sums for each domain and cell and a bounded
+lexicon.
 
 Defined results
-* tokens are runs of characters other than white space; telling words are whole runs of letters, counted as often as they occur
-* null text counts as empty: no tokens, posterior from the same model
+* tokens are runs of characters other than white space, not the ids that packing counts: those
+  need a tokenizer, which no native function has
+* telling words are whole runs of letters, counted as often as they occur
+* null text counts as empty: no tokens, posterior from the same model; a very long text is one row
 * no usable label: one domain, ``all``, whose posterior is 1
 * targets for domains that no label has are left out and the others scaled up to 1
+* targets that no rates meet: the rates whose shares are closest; ArithmeticError if the steps
+  end before they have come close or to rest
+* ties between domains go to the first by name
 * rows of one id get the same number of copies; an empty table gives no rows
+* columns beside doc_id and text are not looked at, whatever their names; the stage keeps them
 """
 
 from __future__ import annotations
@@ -37,8 +48,13 @@ TARGETS = {"clean": 0.85, "junk": 0.10, "toxic": 0.05}
 #: Labelled rows the classifier is fitted on at most, those whose ids hash lowest.
 FIT_ROWS = 20_000
 #: Telling words of a domain, and the share of its documents that have to hold one.
-LEXICON, LEXICON_SHARE = 16, 0.02
-STEPS, CLOSE = 60, 1e-7
+LEXICON, LEXICON_SHARE = 64, 0.01
+#: Bounds of the best domain's lead, in logarithms, that part the cells of a domain.
+LEADS = [2.0, 6.0, 15.0]
+#: Weight of the domains' overall shares in a cell, in documents of mean length.
+SMOOTH = 2.0
+#: Gradient steps at most; residuals that count as met, as at rest, and as too far off.
+STEPS, CLOSE, REST, FAR = 300, 1e-7, 1e-10, 1e-3
 _FLOOR = 1e-4
 
 
@@ -66,6 +82,23 @@ class DomainModel:
             each = [f(n).alias(f"{k}_{n}") for n in self.names for k, f in (("m", F.avg), ("v", F.var_pop))]
             for r in measured.groupBy("domain").agg(*each).collect():
                 self.stats[r.domain] = (counts[r.domain] / sum(counts.values()), [r[f"m_{n}"] for n in self.names], [max(_FLOOR, r[f"v_{n}"]) for n in self.names])
+            self.cells = self._calibrated(texts)
+
+    def _calibrated(self, texts: DataFrame) -> list[list[float]]:
+        """Of each cell the domains' shares of its labelled tokens."""
+        seen = self._in_cells(texts, "__tokens", "__").groupBy("__cell", "domain").agg(F.sum("__tokens").alias("n"), F.count("*").alias("docs")).collect()
+        total, docs = max(1, sum(r.n for r in seen)), max(1, sum(r.docs for r in seen))
+        overall = [sum(r.n for r in seen if r.domain == d) / total for d in self.domains]
+        out = []
+        for cell in range(len(self.domains) * (len(LEADS) + 1)):
+            own = {r.domain: r.n for r in seen if r["__cell"] == cell}
+            if own and sum(own.values()):
+                weight = SMOOTH * total / docs
+                out.append([(own.get(d, 0) + weight * o) / (sum(own.values()) + weight) for d, o in zip(self.domains, overall)])
+            else:  # no labelled document: half its best domain, half the overall shares
+                best = cell // (len(LEADS) + 1)
+                out.append([((i == best) + o) / (1 + sum(overall)) for i, o in enumerate(overall)])
+        return out
 
     @staticmethod
     def _lexicons(texts: DataFrame, counts: dict[str, int]) -> dict[str, list[str]]:
@@ -113,54 +146,64 @@ class DomainModel:
     def _among(words: Column, lexicon: list[str]) -> Column:
         return F.size(F.filter(words, lambda w: w.isin(lexicon)))
 
-    def with_posteriors(self, docs: DataFrame, tokens: str, prefix: str) -> DataFrame:
-        """``docs`` with its number of words and a column for each domain, in order of ``domains``."""
+    def _in_cells(self, docs: DataFrame, tokens: str, prefix: str) -> DataFrame:
+        """``docs`` with its number of words and the cell of each row, ``{prefix}cell``."""
         own = [f"{prefix}f{i}" for i in range(len(self.names))]
-        features = [c.alias(n) for n, (_, c) in zip(own, self._features(prefix))] if self.stats else []
+        features = [c.alias(n) for n, (_, c) in zip(own, self._features(prefix))]
         out = self._taken_apart(docs, prefix).select(*(F.col(f"`{c}`") for c in docs.columns), F.size(f"{prefix}words").cast("long").alias(tokens), *features)
-        if not self.stats:
-            return out.withColumn(f"{prefix}p0", F.lit(1.0))
         logs = []
-        for i, d in enumerate(self.domains):
+        for d in self.domains:
             prior, mean, var = self.stats[d]
             terms = [f"{math.log(prior) - 0.5 * sum(map(math.log, var))!r}D", *(f"-pow({n} - {m!r}D, 2) / {2 * v!r}D" for n, m, v in zip(own, mean, var))]
-            logs.append(F.expr(" + ".join(f"({t})" for t in terms)).alias(f"{prefix}l{i}"))
-        out = out.select(*(F.col(f"`{c}`") for c in out.columns if c not in own), *logs)
-        k = range(len(self.domains))
-        if len(self.domains) > 1:
-            top = F.greatest(*(F.col(f"{prefix}l{i}") for i in k))
-            total = sum((F.exp(F.col(f"{prefix}l{i}") - top) for i in k), F.lit(0.0))
-            out = out.select("*", top.alias(f"{prefix}top"), total.alias(f"{prefix}sum"))
-        p = [(F.exp(F.col(f"{prefix}l{i}") - F.col(f"{prefix}top")) / F.col(f"{prefix}sum")).alias(f"{prefix}p{i}") for i in k]
-        gone = {f"{prefix}l{i}" for i in k} | {f"{prefix}top", f"{prefix}sum"}
-        return out.select(*(F.col(f"`{c}`") for c in out.columns if c not in gone), *p)
-
-
-def rate_after(steps: list[list[float]], posterior: list[str]) -> Column:
-    """The rate of a document, from 1, after gradient steps."""
+            logs.append(" + ".join(f"({t})" for t in terms))
+        out = out.select(*(F.col(f"`{c}`") for c in out.columns if c not in own), F.expr(f"array({', '.join(logs)})").alias(f"{prefix}logs"))
+        best = F.array_position(f"{prefix}logs", F.array_max(f"{prefix}logs")).cast("int") - 1
+        ranked = F.sort_array(f"{prefix}logs", asc=False)
+        lead = sum(((ranked[0] - ranked[1] > x).cast("int") for x in LEADS), F.lit(0))
+        return out.select(*(F.col(f"`{c}`") for c in out.columns if c != f"{prefix}logs"), (best * (len(LEADS) + 1) + lead).alias(f"{prefix}cell"))
+
+    def with_posteriors(self, docs: DataFrame, tokens: str, prefix: str) -> DataFrame:
+        """``docs`` with its number of words and a column for each domain, in order of ``domains``."""
+        if not self.stats:
+            out = self._taken_apart(docs, prefix).select(*(F.col(f"`{c}`") for c in docs.columns), F.size(f"{prefix}words").cast("long").alias(tokens))
+            return out.withColumn(f"{prefix}p0", F.lit(1.0))
+        out = self._in_cells(docs, tokens, prefix)
+        shares = [F.element_at(F.array(*(F.lit(c[i]) for c in self.cells)), F.col(f"{prefix}cell") + 1).alias(f"{prefix}p{i}") for i in range(len(self.domains))]
+        return out.select(*(F.col(f"`{c}`") for c in out.columns if c != f"{prefix}cell"), *shares)
+
+
+def rate_after(steps: list[list[float]], posterior: list[str], before: str = "1D") -> Column:
+    """The rate of a document, from ``before``, after gradient steps."""
     if not steps:
-        return F.lit(1.0)
+        return F.expr(before)
     history = ", ".join(f"array({', '.join(f'{float(g)!r}D' for g in s)})" for s in steps)
     along = " + ".join(f"g[{i}] * {p}" for i, p in enumerate(posterior))
-    return F.expr(f"aggregate(array({history}), 1D, (r, g) -> greatest(0D, r - ({along})))")
+    return F.expr(f"aggregate(array({history}), {before}, (r, g) -> greatest(0D, r - ({along})))")
 
 
 def fit_rates(table: DataFrame, tokens: str, posterior: list[str], shares: list[float]) -> list[list[float]]:
     """The steps whose rates meet ``shares`` of all tokens for the columns ``posterior``."""
     k = range(len(posterior))
+    table = cut(table.groupBy(*posterior).agg(F.sum(tokens).alias(tokens)), "memberships")
     moments = table.agg(F.sum(tokens).alias("n"), *(F.sum(F.expr(f"{tokens} * {posterior[i]} * {posterior[j]}")).alias(f"h{i}_{j}") for i in k for j in k)).first()
     total = float(moments.n or 0)
     if not total:
         return []
     inverse = np.linalg.pinv(np.array([[moments[f"h{i}_{j}"] / total for j in k] for i in k]), rcond=1e-9, hermitian=True)
     steps: list[list[float]] = []
+    rated, since, last = table.withColumn("__r", F.lit(1.0)), 0, None
     for _ in range(STEPS):
-        rated = table.select(tokens, *posterior, rate_after(steps, posterior).alias("__r"))
-        sums = rated.agg(*(F.sum(F.expr(f"{tokens} * __r * {p}")).alias(f"t{i}") for i, p in enumerate(posterior))).first()
+        now = rated.select(tokens, *posterior, rate_after(steps[since:], posterior, "__r").alias("__r"))
+        sums = now.agg(*(F.sum(F.expr(f"{tokens} * __r * {p}")).alias(f"t{i}") for i, p in enumerate(posterior))).first()
         off = np.array([sums[i] / total - shares[i] for i in k])
-        if np.abs(off).max() < CLOSE:
-            break
+        if np.abs(off).max() < CLOSE or last is not None and np.abs(off - last).max() < REST:
+            return steps
+        if len(steps) - since >= 10:  # no expression grows with the number of steps
+            rated, since = cut(now, "rates"), len(steps)
         steps.append((inverse @ off).tolist())
+        last = off
+    if np.abs(last).max() > FAR:
+        raise ArithmeticError(f"after {STEPS} steps the shares are still off by up to {np.abs(last).max():.4f}")
     return steps
 
 
