@@ -6,9 +6,11 @@ root and the sum of the scores on the way, so a path of n messages takes log2(n)
 ids are carried.  A tree's leaves are ranked by the mean score of their path; the best ones are
 chosen and their paths are laid out by the same jump tables.
 
-Each message is formatted by itself, so a conversation that holds a third of all rows is
-formatted by many tasks; reading a conversation back streams it in order through one task,
-which keeps a digest and counters and never the conversation.
+Each message is formatted by itself and turns are numbered by ranges, so a conversation that holds
+a third of all rows is numbered and formatted by many tasks.  A conversation is the joined text of
+its turns; it is read back by a parser that takes that text in pieces cut anywhere and knows
+nothing of rows.  Its digests are sequential, so that one conversation streams in order through
+one task, which keeps digests, counters and one turn and never the conversation.
 
 Template: ``### role:\\n text </turn>\\n``.  Within role and text a backslash goes before every
 backslash, ``### `` and ``</turn>`` (in a role also before colon and line feed), so a control
@@ -21,6 +23,8 @@ Defined results
 * a message whose parent is missing is a root; messages that only reach each other in a circle
   are on no path
 * repeated ids of one tree: joined as they are; the callers number rows, so theirs are unique
+* repeated rows: turns of their own, one after the other
+* a very long text is one turn, whole; columns beside those named are not looked at
 * empty table: no rows
 """
 
@@ -34,14 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches
+from .common import cut, partitions, release, small_batches
 
 LEARNED_ROLE = "assistant"
 HEAD, END = "### ", "</turn>"
 
 _escape_text = r"(\\|### |</turn>)"
 _escape_role = r"(\\|### |</turn>|:|\n)"
-_turn = re.compile(r"### ((?:[^\\:]|\\.)*):\n((?:[^\\<]|\\.|<(?!/turn>))*)</turn>\n", re.S)
 _unescape = re.compile(r"\\(.)", re.S)
 
 
@@ -101,15 +104,48 @@ def format_trees(messages: DataFrame, best: int = 1) -> DataFrame:
     return turns.select("tree", "path", "place", formatted_turn().alias("formatted"))
 
 
+class Reader:
+    """Takes a conversation's text piece by piece and gives its turns as they end."""
+
+    def __init__(self):
+        self.held: list[str] = []  # of the turn that has not ended
+        self.tail = ""
+
+    def feed(self, piece: str) -> Iterator[tuple[str, str]]:
+        self.tail += piece
+        at = start = 0
+        while (end := self.tail.find(END + "\n", at)) >= 0:
+            slashes = end - start - len(self.tail[start:end].rstrip("\\"))
+            if slashes == end - start and self.held:
+                before = "".join(self.held)
+                slashes += len(before) - len(before.rstrip("\\"))
+            at = end + 1
+            if slashes % 2 == 0:
+                at = end + len(END) + 1
+                yield self._turn("".join([*self.held, self.tail[start:end]]))
+                self.held, start = [], at
+        # what may be the beginning of the end stays
+        cut_at = max(start, len(self.tail) - len(END))
+        self.held.append(self.tail[start:cut_at])
+        self.tail = self.tail[cut_at:]
+
+    @staticmethod
+    def _turn(shown: str) -> tuple[str, str]:
+        parts = re.match(r"### ((?:[^\\:]|\\.)*):\n", shown, re.S)
+        if not parts:
+            raise ValueError(f"not in the template: {shown[:80]!r}")
+        return _unescape.sub(r"\1", parts[1]), _unescape.sub(r"\1", shown[parts.end():])
+
+    def close(self) -> None:
+        if any(self.held) or self.tail:
+            raise ValueError("the conversation ends within a turn")
+
+
 def parse(formatted: str) -> list[tuple[str, str]]:
-    """The (role, text) turns of a piece of a conversation."""
-    out, at = [], 0
-    while at < len(formatted):
-        m = _turn.match(formatted, at)
-        if not m:
-            raise ValueError(f"not in the template at {at}")
-        out.append(tuple(_unescape.sub(r"\1", x) for x in m.groups()))
-        at = m.end()
+    """The (role, text) turns of a conversation."""
+    reader = Reader()
+    out = list(reader.feed(formatted))
+    reader.close()
     return out
 
 
@@ -123,16 +159,17 @@ def read_back(formatted: DataFrame) -> DataFrame:
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
         turns = loss_chars = chars = 0
-        all_sha = loss_sha = None
+        all_sha = loss_sha = reader = None
         for b in batches:
             for tree, path, text in zip(*(c.to_pylist() for c in b.columns)):
                 if key != (tree, path) or all_sha is None:
                     if all_sha is not None:
+                        reader.close()
                         rows.append((*key, turns, all_sha.hexdigest(), loss_chars, loss_sha.hexdigest(), chars))
                     key, turns, loss_chars, chars = (tree, path), 0, 0, 0
-                    all_sha, loss_sha = hashlib.sha256(), hashlib.sha256()
+                    all_sha, loss_sha, reader = hashlib.sha256(), hashlib.sha256(), Reader()
                 chars += len(text)
-                for role, said in parse(text):
+                for role, said in reader.feed(text):
                     turns += 1
                     all_sha.update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
                     if role == LEARNED_ROLE:
@@ -142,6 +179,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_OUT)], schema=_OUT)
                 rows = []
         if all_sha is not None:
+            reader.close()
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((*key, turns, all_sha.hexdigest(), loss_chars, loss_sha.hexdigest(), chars), _OUT)], schema=_OUT)
 
     ordered = formatted.select("tree", "path", "place", "formatted").repartition("tree", "path").sortWithinPartitions("tree", "path", "place")
@@ -152,18 +190,30 @@ def read_back(formatted: DataFrame) -> DataFrame:
 def linear_trees(conversations: DataFrame) -> DataFrame:
     """Conversations told turn by turn as trees of one branch: each turn answers the one before.
 
-    Rows of one turn follow each other by role, then text.
+    Rows of one turn follow each other by role, then text.  They are dealt by ranges of that order,
+    numbered within their range, and moved on by the rows that earlier ranges hold of their
+    conversation: one small row for each range and conversation.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    rows = conversations.select("conv_id", "turn", "role", "text").withColumn("node", F.row_number().over(order).cast("long"))
-    parent = F.when(F.col("node") > 1, F.col("node") - 1)
+    spark = conversations.sparkSession
     # a null conversation is one too; ids of trees must join
     tree = F.struct(F.col("conv_id").isNull().alias("n"), F.coalesce("conv_id", F.lit(0)).alias("v"))
-    return rows.select(tree.alias("tree"), "node", parent.alias("parent"), "role", "text", F.lit(0.0).alias("score"))
+    rows = conversations.select(tree.alias("tree"), "turn", "role", "text")
+    # the bounds of ranges hold beginnings of texts only; texts of one turn that begin alike share a range
+    dealt = rows.repartitionByRange(partitions(spark), "tree", "turn", "role", F.substring("text", 1, 256))
+    # written, so that the ranges stay as they are
+    rows = cut(dealt.withColumn("range", F.spark_partition_id()), "ranges")
+    held = rows.groupBy("tree", "range").agg(F.count("*").alias("own"))
+    before = Window.partitionBy("tree").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select("tree", "range", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("before"))
+    order = Window.partitionBy("tree", "range").orderBy("turn", "role", "text")
+    numbered = rows.withColumn("at", F.row_number().over(order).cast("long")).join(held, ["tree", "range"]).withColumn("node", F.col("before") + F.col("at"))
+    parent = F.when(F.col("node") > 1, F.col("node") - 1)
+    return numbered.select("tree", "node", parent.alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
     messages = cut(linear_trees(conversations), "messages")
     out = cut(format_trees(messages), "formatted")
+    release(messages)
     plain = out.withColumn("tree", F.when(~F.col("tree.n"), F.col("tree.v")))
     return read_back(plain).drop("path")
