@@ -12,7 +12,7 @@ order can align.  Such an alignment leaves the diagonal by at most (n + m) / 9,
 band.
 
 Equal texts (after folding) are one node, so copies cost one row each.  Within a bucket every
-text is first compared with one leader.  Links make components, and only texts of one bucket
+text is first compared with one leader, whose k-mers meet it once for each part of a large bucket.  Links make components, and only texts of one bucket
 that are in different components then are compared with each other: a bucket full of copies of
 one text costs as many comparisons as it has texts.  Small buckets become pairs; large ones are
 cut into parts, and a task compares two parts and gives back links, never pairs.  Before a
@@ -26,6 +26,8 @@ Defined results
 * a document with a null id is marked kept only if no document of its class has an id; the
   stage drops none without an id
 * rows that share an id stay or go together in the stage: they stay if one of them is kept
+* a very long text is compared whole; its k-mers are 8 bytes each in one task
+* columns beside doc_id and text are not looked at, whatever their names; the stage keeps them
 * empty table: no rows
 """
 
@@ -40,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches
+from .common import cut, release, small_batches
 from .components import connected_components
 from .substring import rolling, word_hashes
 
@@ -100,14 +102,13 @@ def labelled(codes: np.ndarray) -> np.ndarray:
 def sketch(codes: np.ndarray) -> np.ndarray:
     """One key for each hash function: its smallest k-mers in text order."""
     marked, taken = labelled(codes), min(TAKEN, len(codes))
-    keys = np.empty(SKETCHES, np.uint64)
+    least = np.empty((SKETCHES, taken), np.int64)
     for i, seed in enumerate(_seeds):
-        least = np.argpartition(_mix(marked ^ seed), taken - 1)[:taken]
-        least.sort()
-        key = seed
-        for code in codes[least]:
-            key = _mix(key * _ODD ^ code)
-        keys[i] = key
+        least[i] = np.argpartition(_mix(marked ^ seed), taken - 1)[:taken]
+    least.sort(axis=1)
+    keys = _seeds.copy()
+    for code in codes[least].T:
+        keys = _mix(keys * _ODD ^ code)
     return keys
 
 
@@ -165,13 +166,13 @@ def _meeting(table: pa.Table) -> pa.Table:
     node, component, part = (table.column(c).to_numpy() for c in ("node", "component", "part"))
     keys = np.array(table.column("keys").to_pylist(), np.int64)
     bits = np.array(table.column("bits").to_pylist(), np.int64)
-    codes = [np.frombuffer(c, "<u4") for c in table.column("codes").to_pylist()]
+    codes = [np.frombuffer(c, "<u8") for c in table.column("codes").to_pylist()]
     slot = int(np.flatnonzero(keys[0] == table.column("key")[0].as_py())[0])
     lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
     size = np.array([len(c) for c in codes])
     left, right = np.flatnonzero(part == lo), np.flatnonzero(part == hi)
     apart = np.array(component)
-    unique = [labelled(codes[j].astype(np.uint64)) for j in right]
+    unique = [labelled(codes[j]) for j in right]
     joined = np.concatenate(unique) if unique else np.empty(0, np.uint64)
     starts = np.concatenate([[0], np.cumsum(size[right])])
     links = []
@@ -183,7 +184,7 @@ def _meeting(table: pa.Table) -> pa.Table:
             may &= right > i
         if not may.any():
             continue
-        own = np.sort(labelled(codes[i].astype(np.uint64)))
+        own = np.sort(labelled(codes[i]))
         at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
         common = np.add.reduceat((own[at] == joined).astype(np.int64), starts[:-1])
         both = size[right] + size[i]
@@ -199,22 +200,26 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node) of every row of ``docs`` and the links (a, b) between different nodes."""
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
+    # a text is found again by its row's id and its own hash: many rows can share an id or have none
+    source = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             nodes, keys = [], []
-            for text in b.column(1).to_pylist():
+            for text in b.column(2).to_pylist():
                 node, codes = kmers(text)
                 nodes.append(node)
                 keys.append(None if node is None else sketch(codes).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "h", "node", "keys"])
 
-    rows = cut(docs.select("doc_id", "text").mapInArrow(sketches, f"doc_id {kind}, node long, keys array<long>"), "sketches")
-    texts = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
+    rows = cut(source.mapInArrow(sketches, f"doc_id {kind}, h long, node long, keys array<long>"), "sketches")
+    texts = rows.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("row"), F.first("keys").alias("keys"))
     buckets = texts.select("node", F.posexplode("keys").alias("slot", "key"))
-    shared = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # written first, as other tables below that a large bucket joins: the join's hot keys can then be split
+    shared = cut(buckets.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("texts")).where("texts > 1"), "shared")
     members = cut(buckets.join(shared, "key"), "buckets")
-    wanted = rows.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).withColumnRenamed("node", "wanted")
+    release(shared)
+    wanted = texts.join(members.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("wanted"), F.col("row.doc_id").alias("id"), F.col("row.h").alias("hash"))
 
     def codes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -222,12 +227,11 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             for want, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 node, codes = kmers(text)
                 if node == want:
-                    low = (codes & np.uint64(0xFFFFFFFF)).astype("<u4")
-                    out.append((node, len(low), bit_signature(codes), low.tobytes()))
+                    out.append((node, len(codes), bit_signature(codes), codes.astype("<u8").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))], ["node", "n", "bits", "codes"])
 
-    source = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("wanted", "text")
-    codes = source.mapInArrow(codes_of, "node long, n long, bits array<long>, codes binary")
+    found = source.join(wanted, source["doc_id"].eqNullSafe(wanted["id"]) & (source["h"] == wanted["hash"])).select("wanted", "text")
+    codes = found.mapInArrow(codes_of, "node long, n long, bits array<long>, codes binary")
     codes = cut(codes.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("codes").alias("codes")), "kmers")
     brief = codes.select("node", "n", *(F.col("bits")[i].alias(f"b{i}") for i in range(BITS // 64)))
 
@@ -237,25 +241,35 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             a, z, x, y = (c.to_pylist() for c in b.columns)
-            good = [i for i in range(len(a)) if similarity(np.frombuffer(x[i], "<u4"), np.frombuffer(y[i], "<u4")) >= SIMILARITY]
+            good = [i for i in range(len(a)) if similarity(np.frombuffer(x[i], "<u8"), np.frombuffer(y[i], "<u8")) >= SIMILARITY]
             yield pa.RecordBatch.from_arrays([pa.array([v[i] for i in good], pa.int64()) for v in (a, z)], ["a", "b"])
 
     def links(pairs: DataFrame) -> DataFrame:
-        left = codes.select(F.col("node").alias("a"), F.col("codes").alias("x"))
-        right = codes.select(F.col("node").alias("b"), F.col("codes").alias("y"))
-        return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "links")
-
-    to_leader = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    first = to_leader.join(brief.alias("x"), F.col("a") == F.col("x.node")).join(brief.alias("y"), (F.col("b") == F.col("y.node")) & alike).select("a", "b")
-    linked = links(first)
+        """Pairs (a, part, b) that are similar; at most about ``PART`` of them share a and part."""
+        pairs = cut(pairs, "pairs")
+        heads = pairs.select("a", "part").distinct().join(codes.select(F.col("node").alias("a"), F.col("codes").alias("x")), "a")
+        both = pairs.join(codes.select(F.col("node").alias("b"), F.col("codes").alias("y")), "b").join(heads, ["a", "part"])
+        out = cut(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "links")
+        release(pairs)
+        return out
+
+    to_leader = members.where("node != leader").groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.max("texts").alias("texts"))
+    to_leader = cut(to_leader.select("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("texts") / PART)).cast("int").alias("part"), "b"), "led")
+    heads = to_leader.select("a", "part").distinct().join(brief.withColumnRenamed("node", "a"), "a").alias("x")
+    first = to_leader.alias("p").join(brief.alias("y"), F.col("p.b") == F.col("y.node"))
+    first = first.join(heads, (F.col("p.a") == F.col("x.a")) & (F.col("p.part") == F.col("x.part")) & alike)
+    linked = links(first.select("p.a", "p.part", "p.b"))
+    release(to_leader)
     component = connected_components(linked)
-    placed = members.join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    placed = cut(members.join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "placed")
     split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size")
+    split = cut(split, "split")
     open_members = cut(placed.join(split, "key").join(brief, "node"), "open")
+    release(placed, split, members)
     few = open_members.where(F.col("size") <= SMALL)
     x, y = few.alias("x"), few.alias("y")
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & F.expr("x.component < y.component") & alike)
-    rest = links(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    rest = links(rest.select(F.col("x.node").alias("a"), F.lit(0).alias("part"), F.col("y.node").alias("b")).distinct())
 
     # large buckets: every text goes to the meetings of its part with each part of the bucket
     many = open_members.where(F.col("size") > SMALL).select("key", "node", "component", F.ceil(F.col("size") / PART).cast("int").alias("parts"))
@@ -271,9 +285,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, kept of every document."""
     rows, links = near_links(docs)
     component = connected_components(links)
-    placed = rows.join(component, "node", "left").select("doc_id", F.coalesce("component", "node").alias("c"))
-    classes = placed.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("class_id"))
-    out = placed.join(classes, "c", "left").select("doc_id", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(component, "node", "left")
+    nodes = cut(nodes.select("node", "least", "component"), "named")
+    # written, so that the joins with these are ones whose hot components and texts can be split
+    classes = cut(nodes.where("component is not null").groupBy("component").agg(F.min("least").alias("class_id")), "classes")
+    named = cut(nodes.join(classes, "component", "left").select("node", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("class_id")).alias("class_id")), "classes")
+    release(nodes, classes)
+    out = rows.join(named, "node", "left").select("doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
