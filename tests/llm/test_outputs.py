@@ -1,5 +1,6 @@
 """Chat, mixing, packing, vectors, shards and the pipeline."""
 
+import hashlib
 import random
 import zlib
 from collections import defaultdict
@@ -46,6 +47,42 @@ def test_turns_round_trip(spark):
     assert chat.parse(whole) == [(r, t) for _, r, t in rows]
 
 
+def test_reading_back_pieces_cut_anywhere():
+    r = random.Random(12)
+    signs = ["\\", "### ", "</turn>", "</turn>\n", "\n", ":", "a", "\\</turn>\n", "é"]
+    for _ in range(300):
+        turns = [("".join(r.choices(signs, k=r.randrange(4))), "".join(r.choices(signs, k=r.randrange(9)))) for _ in range(r.randrange(1, 5))]
+        shown = ""
+        for role, text in turns:
+            for x in ("\\", "### ", "</turn>", ":", "\n"):
+                role = role.replace(x, "\\" + x)
+            for x in ("\\", "### ", "</turn>"):
+                text = text.replace(x, "\\" + x)
+            shown += f"### {role}:\n{text}</turn>\n"
+        reader, got = chat.Reader(), []
+        while shown:
+            n = r.randrange(1, 12)
+            got += reader.feed(shown[:n])
+            shown = shown[n:]
+        reader.close()
+        assert got == turns
+    broken = chat.Reader()
+    assert list(broken.feed("### user:\nhello</tur")) == []
+    with pytest.raises(ValueError):
+        broken.close()
+
+
+def test_numbers_across_ranges(spark):
+    """One conversation with most of the rows, repeated rows, a very long text, null turns and clashing columns."""
+    long = "x\\</turn> " * 200_000
+    rows = [(1, i, "user" if i % 2 else "assistant", f"t{i}") for i in range(500)] + [(2, 0, "user", "same")] * 3 + [(3, 0, "user", long), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("tree", F.lit(1)).withColumn("range", F.lit(2)).repartition(7)
+    got = {r.conv_id: r for r in chat.format_conversations(df).collect()}
+    want = hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows[:500]).encode()).hexdigest()
+    assert (got[1].n_turns, got[1].turns_sha256) == (500, want) and got[2].n_turns == 3
+    assert got[3].turns_sha256 == hashlib.sha256(f"user\n{long}\n".encode()).hexdigest() and got[None].n_turns == 1
+
+
 def test_best_branch_of_a_tree(spark):
     rows = [("t", 1, None, "user", "q", 0.0), ("t", 2, 1, "assistant", "a", 1.0), ("t", 3, 1, "assistant", "b", 3.0), ("t", 4, 3, "user", "c", 0.0), ("t", 5, 4, "assistant", "d", 0.5), ("t", 6, 2, "user", "e", 5.0), ("u", 9, 99, "user", "lone", None), ("v", 1, 2, "user", "x", 1.0), ("v", 2, 1, "user", "y", 1.0)]
     df = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string, score double")
@@ -156,8 +193,10 @@ def links_by_hand(x):
     return s >= 0.9
 
 
-def test_near_vectors(spark, monkeypatch):
-    monkeypatch.setattr(projections, "BLOCK_ROWS", 40)
+@pytest.mark.parametrize("cell, part", [(512, 2048), (40, 2048), (30, 7)])
+def test_near_vectors(spark, monkeypatch, cell, part):
+    monkeypatch.setattr(projections, "CELL", cell)
+    monkeypatch.setattr(projections, "PART", part)
     rng = np.random.default_rng(6)
     centres = rng.standard_normal((30, 16))
     x = np.concatenate([c + 0.25 * rng.standard_normal((8, 16)) for c in centres] + [centres[:1], centres[:1], 3 * centres[:1]])
@@ -171,6 +210,35 @@ def test_near_vectors(spark, monkeypatch):
     assert projections.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_near_vectors_in_cells_of_a_hot_group(spark, monkeypatch):
+    """Ties, a null id, and a group of near copies that holds a third of all vectors and more than a part takes."""
+    monkeypatch.setattr(projections, "CELL", 64)
+    monkeypatch.setattr(projections, "PART", 50)
+    rng = np.random.default_rng(9)
+    group = rng.standard_normal(24) + 0.02 * rng.standard_normal((300, 24))
+    x = np.concatenate([group, rng.standard_normal((600, 24)), np.tile(group[:1], (30, 1))])
+    good = links_by_hand(x)
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)] + [(None, x[0].tolist(), 2)], "vec_id long, embedding array<double>, component_id int")
+    got = {r.vec_id: r for r in projections.near_vectors(rows).collect()}
+    want = good.sum(axis=1) + good[:, 0] + (np.arange(len(x)) == 0)  # the row without an id is a copy of the first
+    assert sum(got[i].n_links for i in range(len(x))) == want.sum() and [got[i].n_links for i in range(len(x))] == want.tolist()
+    assert {got[i].component_id for i in [*range(300), *range(900, 930)]} == {0} and not got[None].kept
+
+
+def test_recall_of_the_cells():
+    rng = np.random.default_rng(1)
+    for n, dim in ((20_000, 64), (5_000_000, 24)):
+        unit = rng.standard_normal((3000, dim)) * np.linspace(0.2, 2, dim)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        aside = rng.standard_normal((3000, dim))
+        aside -= (unit * aside).sum(axis=1, keepdims=True) * unit
+        aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+        cells = projections.Cells.fitted(unit[:2000], n, 0.9)
+        (a, near), (b, back) = cells.codes(unit), cells.codes(0.9 * unit + np.sqrt(0.19) * aside)
+        met = projections.reaches(a, near, b) | projections.reaches(b, back, a)
+        assert cells.k > 4 and met.any(axis=1).mean() > 0.98
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(0)
     a = rng.standard_normal((4000, 64))

@@ -113,6 +113,27 @@ def test_substring_stage(spark):
     assert substring.drop_repeats(docs(spark, []), ["doc_id"]).count() == 0
 
 
+def test_substring_dedup_of_a_very_long_text_and_rows_without_ids(spark):
+    passage = prose(21, 60)
+    long = [f"{i:x}" for i in range(7_000_000)]
+    texts = [" ".join(long + passage), " ".join(["a", *passage, "b"]), " ".join(prose(22, 40)), " ".join(prose(22, 40)), None]
+    assert len(texts[0]) > 45_000_000
+    rows = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").withColumn("n_removed", F.lit("mine"))
+    got = Counter((r.doc_id, r.n_words, r.n_removed) for r in substring.drop_repeats(rows, ["doc_id"]).collect())
+    assert got == Counter([(None, 7_000_060, 60), (None, 62, 60), (None, 40, 40), (None, 40, 40), (None, 0, 0)])
+    kept = substring.drop_repeats(rows.limit(2), ["n_removed"], with_text=True)
+    assert kept.columns == ["n_removed", "text"]
+
+
+def test_windows_among_keys_that_share_their_first_hash():
+    r = np.random.default_rng(3)
+    hot = np.unique(r.integers(0, 6, (20, 2)).astype(np.uint64), axis=0)
+    keys = r.integers(0, 7, (200, 2)).astype(np.uint64)
+    want = [tuple(k) in set(map(tuple, hot)) for k in keys]
+    assert substring._windows_among(keys, hot).tolist() == want
+    assert not substring._windows_among(keys, hot[:0]).any()
+
+
 # Order MinHash
 
 
@@ -132,7 +153,7 @@ def test_banded_alignment():
         b = a[:]
         for _ in range(r.randrange(6)):
             b.insert(r.randrange(len(b) + 1), r.randrange(6))
-        x, y = (np.array(v, "<u4") for v in (a, b))
+        x, y = (np.array(v, "<u8") for v in (a, b))
         assert minhash.banded_alignment(x, y, len(a) + len(b)) == lcs(a, b)
         assert minhash.banded_alignment(x, y, 6) == lcs(a, b)
         n = len(a) + len(b)
@@ -164,7 +185,7 @@ def classes_by_hand(texts):
     for i, (n, x) in enumerate(codes):
         for j in range(i):
             m, y = codes[j]
-            if n is not None and m is not None and (n == m or minhash.similarity(x.astype("<u4"), y.astype("<u4")) >= 0.8):
+            if n is not None and m is not None and (n == m or minhash.similarity(x, y) >= 0.8):
                 a, b = sorted((top(i), top(j)))
                 up[b] = a
     return [top(i) for i in range(len(texts))]
@@ -191,6 +212,49 @@ def test_near_duplicates_of_odd_rows(spark):
     assert {r.doc_id for r in minhash.near_duplicate_stage(docs(spark, [t, t, "other"])).collect()} == {0, 2}
 
 
+def test_all_links_of_documents_at_the_threshold(spark):
+    """Recall on the documents table: every pair of different texts at 0.8 or more is joined, and no other."""
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text for r in table.collect()}
+    codes = {}
+    for t in texts.values():
+        node, c = minhash.kmers(t)
+        if node is not None:
+            codes[node] = c
+    real = {(a, b) for a in codes for b in codes if a < b and min(len(codes[a]), len(codes[b])) >= 0.8 * max(len(codes[a]), len(codes[b])) and minhash.similarity(codes[a], codes[b]) >= 0.8}
+    up = {n: n for n in codes}
+
+    def top(n):
+        while up[n] != n:
+            n = up[n]
+        return n
+
+    for a, b in real:
+        x, y = sorted((top(a), top(b)))
+        up[y] = x
+    least: dict = {}
+    nodes = {i: minhash.kmers(t)[0] for i, t in texts.items()}
+    for i, n in sorted(nodes.items()):
+        if n is not None:
+            least.setdefault(top(n), i)
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(table).collect()}
+    assert real and got == {i: i if n is None else least[top(n)] for i, n in nodes.items()}
+
+
+def test_many_texts_without_an_id(spark):
+    """Rows are found again by their text: this ends in the time that as many rows with ids take."""
+    texts = [" ".join(prose(i, 12)) for i in range(3000)]
+    rows = spark.createDataFrame([(None, t) for t in texts + texts[:500]], "doc_id long, text string")
+    got = minhash.near_links(rows)
+    assert got[0].count() == 3500 and got[0].distinct().count() == 3000 and got[1].count() == 0
+
+
+def test_a_very_long_text_and_its_near_copy(spark):
+    words = [f"{i:x}" for i in range(400_000)]
+    rows = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:-9])), (3, "a b c d e f")], "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(rows).collect()} == {1: 1, 2: 1, 3: 3}
+
+
 # quality
 
 
