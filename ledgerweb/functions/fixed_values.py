@@ -93,15 +93,174 @@ PARTNER_KEYWORDS = [
 ]
 
 #: Upper-case words that are no tickers in prose.
-TICKER_BLOCKLIST = (
-    "A B C D E F G H I J K L M N O P Q R S T U V W X Y Z AD AI AN AS AT AB BE BY CE DO EC EU GO HE HR IN IP IS"
-    " IT ON OR PC PR SA SO UK UP US WE ACT ACA ADD AGE AID AIR ALL AND ANY API ARE BDC BIG CAR CAN CMS CRM CPU"
-    " DEI DMA DNA DSP EEA EPC ESG FOR GDP GLP GPU HAS HHS IDN III IOT KEY NET NEW NOW OLD ONE OUR OUT PER QSR"
-    " SEC SEE SOC THE TPG TWO USA VIA YOU ALSO ASIC BACK BEEN BOTH CARE CASH DRUG EACH EVEN FAST FLEX FORM"
-    " GOOD HALF JUST MANY MORE MOST MUST NEED NOTE ONCE ONLY OPEN PLUS REAL RISK SAFE SELF SOME SUCH TERM VERY"
-    " WELL WHEN WILL WITH ABOUT AUDIO BEING CLEAR FOCUS GLOBE IDEAL LIFE LIGHT MEDIA PRIME RANGE SMILE STILL"
-    " THINK THREE TOTAL UNITY VALUE VITAL"
-).split()
+TICKER_BLOCKLIST = [
+    "A",
+    "B",
+    "C",
+    "D",
+    "E",
+    "F",
+    "G",
+    "H",
+    "I",
+    "J",
+    "K",
+    "L",
+    "M",
+    "N",
+    "O",
+    "P",
+    "Q",
+    "R",
+    "S",
+    "T",
+    "U",
+    "V",
+    "W",
+    "X",
+    "Y",
+    "Z",
+    "AD",
+    "AI",
+    "AN",
+    "AS",
+    "AT",
+    "AB",
+    "BE",
+    "BY",
+    "CE",
+    "DO",
+    "EC",
+    "EU",
+    "GO",
+    "HE",
+    "HR",
+    "IN",
+    "IP",
+    "IS",
+    "IT",
+    "ON",
+    "OR",
+    "PC",
+    "PR",
+    "SA",
+    "SO",
+    "UK",
+    "UP",
+    "US",
+    "WE",
+    "ACT",
+    "ACA",
+    "ADD",
+    "AGE",
+    "AID",
+    "AIR",
+    "ALL",
+    "AND",
+    "ANY",
+    "API",
+    "ARE",
+    "BDC",
+    "BIG",
+    "CAR",
+    "CAN",
+    "CMS",
+    "CRM",
+    "CPU",
+    "DEI",
+    "DMA",
+    "DNA",
+    "DSP",
+    "EEA",
+    "EPC",
+    "ESG",
+    "FOR",
+    "GDP",
+    "GLP",
+    "GPU",
+    "HAS",
+    "HHS",
+    "IDN",
+    "III",
+    "IOT",
+    "KEY",
+    "NET",
+    "NEW",
+    "NOW",
+    "OLD",
+    "ONE",
+    "OUR",
+    "OUT",
+    "PER",
+    "QSR",
+    "SEC",
+    "SEE",
+    "SOC",
+    "THE",
+    "TPG",
+    "TWO",
+    "USA",
+    "VIA",
+    "YOU",
+    "ALSO",
+    "ASIC",
+    "BACK",
+    "BEEN",
+    "BOTH",
+    "CARE",
+    "CASH",
+    "DRUG",
+    "EACH",
+    "EVEN",
+    "FAST",
+    "FLEX",
+    "FORM",
+    "GOOD",
+    "HALF",
+    "JUST",
+    "MANY",
+    "MORE",
+    "MOST",
+    "MUST",
+    "NEED",
+    "NOTE",
+    "ONCE",
+    "ONLY",
+    "OPEN",
+    "PLUS",
+    "REAL",
+    "RISK",
+    "SAFE",
+    "SELF",
+    "SOME",
+    "SUCH",
+    "TERM",
+    "VERY",
+    "WELL",
+    "WHEN",
+    "WILL",
+    "WITH",
+    "ABOUT",
+    "AUDIO",
+    "BEING",
+    "CLEAR",
+    "FOCUS",
+    "GLOBE",
+    "IDEAL",
+    "LIFE",
+    "LIGHT",
+    "MEDIA",
+    "PRIME",
+    "RANGE",
+    "SMILE",
+    "STILL",
+    "THINK",
+    "THREE",
+    "TOTAL",
+    "UNITY",
+    "VALUE",
+    "VITAL",
+]
 
 #: Words that are no company names in prose.
 NAME_BLOCKLIST = [
@@ -404,10 +563,35 @@ NO_RELATION_SIGNS = [
 ]
 
 #: Words that a name loses before it is compared by characters.
-CORPORATE_SUFFIXES = (
-    "incorporated corporation company limited holdings enterprises industries international group partners inc"
-    " corp co ltd llc llp plc sa ag nv bv gmbh lp intl hldgs hlds grp"
-).split()
+CORPORATE_SUFFIXES = [
+    "incorporated",
+    "corporation",
+    "company",
+    "limited",
+    "holdings",
+    "enterprises",
+    "industries",
+    "international",
+    "group",
+    "partners",
+    "inc",
+    "corp",
+    "co",
+    "ltd",
+    "llc",
+    "llp",
+    "plc",
+    "sa",
+    "ag",
+    "nv",
+    "bv",
+    "gmbh",
+    "lp",
+    "intl",
+    "hldgs",
+    "hlds",
+    "grp",
+]
 
 #: The same for small words.
 NOISE_WORDS = [
@@ -468,3 +652,49 @@ GENERIC_MENTIONS = ["target", "master", "apple", "amazon", "google", "microsoft"
 
 #: Mentions of up to two letters that are companies.
 SHORT_MENTIONS = ["ibm", "hp", "ge", "at", "ma"]
+
+#: Contexts in which a filing names its competitors; the last group is the stretch that holds the names.
+COMPETITOR_CONTEXTS = [
+    r"[Oo]ur\s+(?:current\s+|primary\s+|principal\s+)?competitors?\s+include:?\s*(.{100,3000}?)(?:Patents|We rely|Intellectual|Our\s+(?:intellectual|business)|[A-Z][a-z]+\s+and\s+Proprietary|$)",
+    r"[Cc]ompetitors?\s+(?:to\s+[\w\s]+\s+)?include\s+[^.]+such\s+as\s+([A-Z][^.]+)",
+    r"(?:principal\s+|primary\s+)?competitor\s+(?:in\s+[\w\s]+\s+)?(?:is|are)\s+([A-Z][^.]{5,150})",
+    r"compete\s+with\s+(?:products?\s+from\s+)?([A-Z][^.]{10,200})",
+    r"compete\s+(?:directly\s+)?against\s+([A-Z][^.]{10,200}(?:Inc\.|Corp\.|Corporation|Ltd\.))",
+    r"competition\s+from\s+(?:our\s+)?(?:primary\s+)?(?:\w+\s+)?(?:competitors?\s+such\s+as\s+)?([A-Z][^.]{10,200}(?:Inc\.|Corp\.|Corporation|Ltd\.))",
+    r"competitors?\s+such\s+as\s+([A-Z][^.]{10,200})",
+    r"also\s+compete\s+with\s+([A-Z][^.]{10,150})",
+]
+
+#: A list of names within such a stretch.
+SUCH_AS = r"such\s+as\s+([^;•\n]+)"
+
+#: Names of companies within such a stretch, the surest form first.
+COMPANY_NAMES = [
+    r"\b([A-Z][a-zA-Z0-9&\.\-]+(?:\s+[A-Z][a-zA-Z0-9&\.\-]+)*)\s+(?:Corporation|Corp\.?|Inc\.?|Ltd\.?|LLC|Company|Co\.)\b",
+    r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,4})\b",
+    r"\b([A-Z][a-z]{4,15})\b",
+    r"\b([A-Z]{3,8})\b",
+]
+
+#: Least scores of a strong, moderate and weak match, by characters and by meaning.
+CHARACTER_LABELS, SEMANTIC_LABELS = (0.50, 0.30, 0.15), (0.75, 0.60, 0.45)
+
+#: What a decision costs on each of the four tiers.
+TIER_COSTS = [0.0, 0.0, 0.001, 0.01]
+
+#: In which order a traversal gives its relations.
+RELATION_PRIORITY = {
+    "HAS_SUPPLIER": 1,
+    "HAS_CUSTOMER": 2,
+    "HAS_PARTNER": 3,
+    "HAS_COMPETITOR": 4,
+    "SIMILAR_DESCRIPTION": 5,
+    "SIMILAR_RISK": 6,
+}
+
+#: What an industry edge weighs by the classification that made it.
+INDUSTRY_WEIGHTS = {
+    "SIC": 1.2,
+    "INDUSTRY": 0.8,
+    "SECTOR": 0.6,
+}

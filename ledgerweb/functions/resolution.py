@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.ranking import keep_first
+from ..operators.ranking import keep_first, top_k_per_group
+from ..operators.similarity import cosine
 from . import fixed_values as V
-from .text import lookup_name
+from .text import char_ngrams, folded_name, lookup_name
 
 MATCH_SCORES = {"exact_ticker": 1.0, "exact_name": 1.0, "normalized_name": 0.95, "fuzzy_name": 0.80, "alias": 0.85}
 BASE_CONFIDENCE = {"exact_ticker": 1.0, "exact_name": 1.0, "normalized_name": 0.95}
@@ -82,13 +83,27 @@ def match_candidates(candidates: DataFrame, lookup: DataFrame, fuzzy: bool = Fal
     return best.select(*own, F.col("kind").alias("match_type"), "cik", "ticker", "name", "match_confidence")
 
 
+def _rarest(rows: DataFrame, words: str, counts: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` with __t: of each set of words those that any set alike enough has to share one of.
+
+    Of n words at least ceil(share n) are common to both; so one of the n - ceil(share n) + 1 rarest is.
+    """
+    each = rows.withColumn("__t", F.explode(words)).join(counts, "__t", "left")
+    order = Window.partitionBy(*key).orderBy(F.coalesce("__n", F.lit(0)), "__t")
+    take = F.size(words) - F.ceil(F.lit(FUZZY_LEAST) * F.size(words)) + 1
+    return each.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= take).drop("__r", "__n")
+
+
 def _fuzzy(candidates: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Token Jaccard of at least ``FUZZY_LEAST``, blocked on common tokens."""
+    """Token Jaccard of at least ``FUZZY_LEAST``; sets meet on their rarest words only, so a word that all share joins nothing."""
     own = candidates.columns
     words = lambda c: F.array_distinct(F.split(F.lower(F.trim(c)), r"\s+"))
-    left = candidates.withColumn("__a", words("candidate")).withColumn("__t", F.explode("__a"))
-    right = lookup.where("kind = 'exact_name'").select("cik", "ticker", "name", words("key").alias("__b")).withColumn("__t", F.explode("__b"))
-    met = left.join(right, "__t").drop("__t").distinct()
+    names = lookup.where("kind = 'exact_name'").select("cik", "ticker", "name", "key", words("key").alias("__b"))
+    counts = names.select(F.explode("__b").alias("__t")).groupBy("__t").agg(F.count("*").alias("__n"))
+    asked = candidates.select("candidate").distinct().withColumn("__a", words("candidate"))
+    left = _rarest(asked, "__a", counts, ["candidate"])
+    right = _rarest(names, "__b", counts, ["key", "cik"]).drop("key")
+    met = left.join(right, "__t").drop("__t").distinct().join(candidates, "candidate")
     score = F.size(F.array_intersect("__a", "__b")) / F.size(F.array_union("__a", "__b"))
     return met.withColumn("__s", score).where(F.col("__s") >= FUZZY_LEAST).select(*own, F.lit(3).alias("__rank"), F.lit("fuzzy_name").alias("kind"), "cik", "ticker", "name", (F.col("__s") * FUZZY_SHARE).alias("match_confidence"))
 
@@ -115,6 +130,76 @@ def combined_confidence(characters: Column, semantic: Column, ticker: Column, ex
     return score, F.when((score >= 0.75) | ticker, "high").when(score >= 0.5, "medium").otherwise("low")
 
 
+def filter_counts(candidates: DataFrame, filters: tuple[str, ...] = DEFAULT_FILTERS) -> DataFrame:
+    """reason, n: how many of ``candidates(candidate, sentence)`` each filter rejects; ``passed`` for the others."""
+    return candidates.groupBy(F.coalesce(filter_reason(F.col("candidate"), F.col("sentence"), filters), F.lit("passed")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+def ticker_match(mention: Column, ticker: Column) -> Column:
+    return F.coalesce(F.upper(F.trim(mention)) == F.upper(F.trim(ticker)), F.lit(False))
+
+
+def name_match(mention: Column, name: Column) -> Column:
+    return F.coalesce(folded_name(mention) == folded_name(name), F.lit(False))
+
+
+def prefix_match(mention: Column, name: Column, least: int = 4) -> Column:
+    """Whether a name begins with the mention, both as they are compared."""
+    m = folded_name(mention)
+    return F.coalesce((F.length(m) >= least) & folded_name(name).startswith(m), F.lit(False))
+
+
+def score_label(score: Column, by: str) -> Column:
+    """strong, moderate, weak or poor, by ``character`` or ``semantic`` thresholds."""
+    strong, moderate, weak = V.CHARACTER_LABELS if by == "character" else V.SEMANTIC_LABELS
+    return F.concat(F.when(score >= strong, "strong").when(score >= moderate, "moderate").when(score >= weak, "weak").otherwise("poor"), F.lit(f"_{by}_match"))
+
+
+def ranked_by_characters(mentions: DataFrame, companies: DataFrame, top: int = 10) -> DataFrame:
+    """mention, cik, name, score: of each ``mentions(mention)`` the companies whose names share n-grams with it, best first.
+
+    Names meet on their n-grams; companies that share none have score 0 and no row.
+    """
+    left = mentions.select("mention").distinct().withColumn("a", char_ngrams(F.col("mention")))
+    right = companies.select("cik", "name", char_ngrams(F.col("name")).alias("b"))
+    shared = left.select("mention", F.size("a").alias("na"), F.explode("a").alias("g")).join(right.select("cik", "name", F.size("b").alias("nb"), F.explode("b").alias("g")), "g")
+    score = F.count("*") / (F.first("na") + F.first("nb") - F.count("*"))
+    return top_k_per_group(shared.groupBy("mention", "cik", "name").agg(score.alias("score")), ["mention"], top, F.desc(F.round("score", 9)), F.asc("cik"))
+
+
+def semantic_scores(mentions: DataFrame, companies: DataFrame) -> DataFrame:
+    """``mentions(mention, cik, embedding)`` with score and method against the vectors of ``companies(cik, embedding)``.
+
+    A candidate without a vector has score 0, as a mention without one.
+    """
+    c = companies.select("cik", F.col("embedding").alias("__c"))
+    met = mentions.join(c, "cik", "left")
+    method = F.when(F.col("__c").isNull(), "no_candidate_embedding").when(F.col("embedding").isNull(), "embedding_error").otherwise("cosine_embedding")
+    score = F.when(method == "cosine_embedding", cosine(F.col("embedding"), F.col("__c"))).otherwise(0.0)
+    return met.select(*(x for x in mentions.columns if x != "embedding"), score.alias("score"), method.alias("method"))
+
+
+def context_similarity(contexts: DataFrame, companies: DataFrame, least: float = 0.30) -> DataFrame:
+    """``contexts(ticker, embedding)`` with similarity and passed; a company without a vector passes with 1."""
+    c = companies.select("ticker", F.col("embedding").alias("__c"))
+    met = contexts.join(c, "ticker", "left")
+    score = F.when(F.col("__c").isNull(), 1.0).otherwise(cosine(F.col("embedding"), F.col("__c")))
+    return met.select(*(x for x in contexts.columns if x != "embedding"), score.alias("similarity")).withColumn("passed", F.col("similarity") >= least)
+
+
+def context_key(context: Column) -> Column:
+    """What the vector of a context is stored under."""
+    return F.substring(F.sha2(F.substring(context, 1, 500), 256), 1, 16)
+
+
+def decision_costs(decisions: DataFrame) -> DataFrame:
+    """Decisions of each of the four tiers of ``decisions(tier)``, their cost together, and for one."""
+    n = [F.count(F.when(F.col("tier") == i + 1, 1)) for i in range(4)]
+    cost = reduce(lambda a, b: a + b, (k * c for k, c in zip(n, V.TIER_COSTS)))
+    every = reduce(lambda a, b: a + b, n)
+    return decisions.agg(*(k.alias(f"tier{i + 1}") for i, k in enumerate(n)), cost.alias("cost"), F.when(every > 0, cost / every).otherwise(0.0).alias("per_decision"))
+
+
 def confidence_tier(relation: Column, similarity: Column) -> Column:
     """high, medium or low by the relation's thresholds; medium without a similarity, low for other relations."""
     out = F.when(~relation.isin(*V.TIER_THRESHOLDS), "low").when(similarity.isNull(), "medium")

@@ -47,6 +47,20 @@ def relationship_sentences(df: DataFrame, keywords: list[str], text: str = "text
     return out.where(F.array_contains(F.array(*(low.contains(k) for k in keywords)), True))
 
 
+def containing_sentence(text: Column, position: Column, most: int = 500) -> Column:
+    """The sentence around a character of a text (from 0), stripped, its first ``most`` characters."""
+    head, tail = F.substring(text, F.lit(1), position), F.substring(text, position + 1, F.length(text))
+    before = F.regexp_extract(head, r"(?s)^.*[.!?]\s+(.*)$", 1)
+    before = F.when(head.rlike(r"(?s)[.!?]\s+"), before).otherwise(head)
+    after = F.regexp_extract(tail, r"(?s)^(.*?[.!?]\s+|.*$)", 1)
+    return F.substring(strip(F.concat(before, after)), 1, most)
+
+
+def truncate_tokens(text: Column, most: int) -> Column:
+    """The beginning of a text that is estimated to have at most ``most`` tokens, at 3.5 characters each if it is too long."""
+    return F.when(token_estimate(text) <= most, text).otherwise(F.substring(text, 1, int(most * 3.5)))
+
+
 def char_chunks(text: Column, size: int = CHUNK, overlap: int = OVERLAP, least: int = LEAST_CHUNK) -> Column:
     """Overlapping windows of a text, stripped; short ones go, but a short text stays whole.
 

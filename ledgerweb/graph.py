@@ -7,7 +7,7 @@ Any other source fits by building the same frames.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,29 +59,27 @@ class BusinessGraph:
 
     def edges(self, relation: str) -> DataFrame:
         """src, dst, confidence, embedding_similarity, mentions: one row for each pair."""
-        flag, quantity = RELATIONS[relation]
+        return self.all_edges(relation).drop("rel_type")
+
+    def all_edges(self, *relations: str) -> DataFrame:
+        """The edges of several relations with their type, from one join of the order lines."""
         lines = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount", "l_returnflag")
-        a = lines.where((F.col("l_quantity") == quantity) & (F.col("l_returnflag") == flag)).alias("a")
-        b = lines.where(F.col("l_quantity") < quantity).select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity").alias("b")
-        on = "a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber AND a.l_suppkey <> b.l_suppkey"
+        kind = reduce(lambda c, r: c.when((F.col("l_quantity") == RELATIONS[r][1]) & (F.col("l_returnflag") == RELATIONS[r][0]), r), relations or RELATIONS, F)
+        most = max(RELATIONS[r][1] for r in relations or RELATIONS)
+        a = lines.where(F.col("l_quantity").isin(*{float(RELATIONS[r][1]) for r in relations or RELATIONS})).withColumn("rel_type", kind).where("rel_type IS NOT NULL").alias("a")
+        b = lines.where(F.col("l_quantity") < most).select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity").alias("b")
+        on = "a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber AND a.l_suppkey <> b.l_suppkey AND b.l_quantity < a.l_quantity"
         return (
             a.join(b, F.expr(on))
-            .groupBy(F.col("a.l_suppkey").alias("src"), F.col("b.l_suppkey").alias("dst"))
+            .groupBy(F.col("a.l_suppkey").alias("src"), F.col("b.l_suppkey").alias("dst"), "rel_type")
             .agg(
                 F.max(F.round(1 - F.col("a.l_discount") * 5, 6)).alias("confidence"),
                 F.max(F.round(F.col("b.l_quantity") / 50, 6)).alias("embedding_similarity"),
                 F.count("*").alias("mentions"),
             )
+            .select("src", "dst", "confidence", "embedding_similarity", "mentions", "rel_type")
         )
 
-    def all_edges(self, *relations: str) -> DataFrame:
-        """The edges of several relations with their type."""
-        out = None
-        for r in relations or RELATIONS:
-            one = self.edges(r).withColumn("rel_type", F.lit(r))
-            out = one if out is None else out.unionByName(one)
-        return out
-
     @cached_property
     def domain(self) -> DataFrame:
         return self.table("customer").select(F.col("c_custkey").alias("domain"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("keywords"))
@@ -110,9 +108,10 @@ class BusinessGraph:
         """cik, technology: through any of the company's domains."""
         return self.has_domain.join(self.uses, F.col("dst") == F.col("domain")).select(F.col("src").alias("cik"), "technology").distinct()
 
-    def company_vectors(self, shift: int = 0) -> DataFrame:
-        """cik, embedding; ``shift`` counts companies, so different texts have different vectors."""
+    def company_vectors(self, shift: int = 0, least_chars: int = 200) -> DataFrame:
+        """cik, embedding of texts of ``least_chars`` characters; ``shift`` counts companies, so different texts have different vectors."""
         n = self.table("supplier").agg(F.count("*").alias("n"))  # one row
-        vec = self.table("embeddings").select("vec_id", "embedding").crossJoin(F.broadcast(n))
+        told = self.table("documents").where(F.length("text") >= least_chars).select(F.col("doc_id").alias("vec_id"))
+        vec = self.table("embeddings").select("vec_id", "embedding").join(told, "vec_id", "left_semi").crossJoin(F.broadcast(n))
         vec = vec.select((F.col("vec_id") - F.lit(shift) * F.col("n")).alias("cik"), "embedding")
         return vec.join(self.company.select("cik"), "cik", "left_semi")

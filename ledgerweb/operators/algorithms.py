@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, release
 
 #: Iterations between two cuts of the lineage.
 CUT_EVERY = 5
@@ -94,11 +94,13 @@ def betweenness(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.select("node").join(parts.groupBy("node").agg(F.sum("part").alias("betweenness")), "node", "left").fillna(0.0, ["betweenness"])
 
 
-def communities(nodes: DataFrame, edges: DataFrame, levels: int = 3, rounds: int = 6) -> DataFrame:
+def communities(nodes: DataFrame, edges: DataFrame, levels: int = 10, rounds: int = 10) -> DataFrame:
     """node, community by local moves that raise modularity, on the graph and then on its communities.
 
     In a round half of the nodes (by hash) may move, each to the neighbouring community with the
-    largest gain, ties to the smallest id, so no two neighbours chase each other for long.
+    largest gain, ties to the smallest id, so no two neighbours chase each other for long.  A level
+    ends when nothing has moved in two rounds, or after ``rounds``; all ends when a level joins
+    nothing, or after ``levels``.
     """
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     graph = cut(both.where("src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("w")), "graph")
@@ -109,6 +111,7 @@ def communities(nodes: DataFrame, edges: DataFrame, levels: int = 3, rounds: int
             break
         own = graph.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
         place = cut(own.select("node", F.col("node").alias("c"), "k"), "place")
+        still = 0
         for r in range(rounds):
             mass = place.groupBy("c").agg(F.sum("k").alias("mass"))
             near = graph.where("src <> dst").join(place.select(F.col("node").alias("dst"), F.col("c").alias("to")), "dst").groupBy(F.col("src").alias("node"), "to").agg(F.sum("w").alias("links"))
@@ -118,7 +121,14 @@ def communities(nodes: DataFrame, edges: DataFrame, levels: int = 3, rounds: int
             best = Window.partitionBy("node").orderBy(F.desc(F.round("gain", 9)), F.asc("to"))
             moved = options.withColumn("gain", gain).withColumn("r", F.row_number().over(best)).where("r = 1")
             may = F.pmod(F.xxhash64("node", F.lit(r)), F.lit(2)) == 0
-            place = cut(moved.select("node", F.when(may, F.col("to")).otherwise(F.col("c")).alias("c"), "k"), "place")
+            moved = cut(moved.select("node", F.when(may, F.col("to")).otherwise(F.col("c")).alias("to"), "c", "k"), "place")
+            still = 0 if moved.where("to <> c").limit(1).count() else still + 1
+            release(place)
+            place = moved.select("node", F.col("to").alias("c"), "k")
+            if still == 2:
+                break
+        if place.where("node <> c").limit(1).count() == 0:
+            break
         label = cut(label.join(place.select(F.col("node").alias("community"), F.col("c").alias("up")), "community", "left").select("node", F.coalesce("up", "community").alias("community")), "label")
         graph = (
             graph.join(place.select(F.col("node").alias("src"), F.col("c").alias("a")), "src").join(place.select(F.col("node").alias("dst"), F.col("c").alias("b")), "dst")

@@ -78,17 +78,48 @@ def top_k_similar_pairs(vectors: DataFrame, threshold: float = 0.7, top_k: int =
     return kept.groupBy(F.least("a", "b").alias("key1"), F.greatest("a", "b").alias("key2")).agg(F.max("score").alias("score"))
 
 
-def set_jaccard_pairs(members: DataFrame, node: str, item: str) -> DataFrame:
-    """a < b, shared, score for all pairs of nodes with a common item.
+def similar_nodes(nodes: DataFrame, threshold: float, top_k: int, text: str | None = None, least_chars: int = 0, key: str = "key", embedding: str = "embedding") -> DataFrame:
+    """As ``top_k_similar_pairs`` for nodes of any kind; with ``text`` only those whose text has ``least_chars`` characters."""
+    kept = nodes.where(F.length(text) >= least_chars) if text else nodes
+    return top_k_similar_pairs(kept, threshold, top_k, key, embedding)
 
-    One equi-join on the item; the pairs' counts combine on the map side.
+
+#: From this Jaccard on, sets meet on their rarest items only.
+RARE_FROM = 0.5
+
+
+def _pairs(left: DataFrame, key: str, around: object | None) -> DataFrame:
+    """a < b of rows ``left(n, <key>)`` that share the key; with ``around`` only pairs of that node, joined from its side."""
+    x, y = left.withColumnRenamed("n", "a"), left.withColumnRenamed("n", "b")
+    if around is None:
+        return x.join(y, key).where("a < b")
+    met = x.where(F.col("a") == around).join(y, key).where("a <> b")
+    return met.select(*(c for c in met.columns if c not in ("a", "b")), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def set_jaccard_pairs(members: DataFrame, node: str, item: str, least: float = 0.0, around: object | None = None) -> DataFrame:
+    """a < b, shared, score for all pairs of nodes with a common item and a score of at least ``least``.
+
+    One equi-join on the item; the pairs' counts combine on the map side.  With a high ``least`` two
+    sets of n items share one of the n - ceil(least n) + 1 rarest of each, so only those are joined
+    and an item that all have makes no pairs; candidates are then compared whole.
     """
     m = members.select(F.col(node).alias("n"), F.col(item).alias("i")).distinct()
-    size = m.groupBy("n").agg(F.count("*").alias("size"))
-    x, y = m.select(F.col("n").alias("a"), "i"), m.select(F.col("n").alias("b"), "i")
-    shared = x.join(y, "i").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    sized = shared.join(size.select(F.col("n").alias("a"), F.col("size").alias("sa")), "a").join(size.select(F.col("n").alias("b"), F.col("size").alias("sb")), "b")
-    return sized.select("a", "b", "shared", (F.col("shared") / (F.col("sa") + F.col("sb") - F.col("shared"))).alias("score"))
+    jaccard = F.col("shared") / (F.col("sa") + F.col("sb") - F.col("shared"))
+    if least >= RARE_FROM:
+        often = m.groupBy("i").agg(F.count("*").alias("__often"))
+        each = m.join(often, "i").withColumn("size", F.count("*").over(Window.partitionBy("n"))).withColumn("r", F.row_number().over(Window.partitionBy("n").orderBy("__often", "i")))
+        rare = each.where(F.col("r") <= F.col("size") - F.ceil(F.round(F.lit(least) * F.col("size"), 9)) + 1).select("n", "i")
+        met = _pairs(rare, "i", around).select("a", "b").distinct()
+        sets = m.groupBy("n").agg(F.collect_set("i").alias("s"))
+        both = met.join(sets.select(F.col("n").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("n").alias("b"), F.col("s").alias("y")), "b")
+        sized = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("shared"), F.size("x").alias("sa"), F.size("y").alias("sb"))
+    else:
+        size = m.groupBy("n").agg(F.count("*").alias("size"))
+        shared = _pairs(m, "i", around).groupBy("a", "b").agg(F.count("*").alias("shared"))
+        sized = shared.join(size.select(F.col("n").alias("a"), F.col("size").alias("sa")), "a").join(size.select(F.col("n").alias("b"), F.col("size").alias("sb")), "b")
+    out = sized.select("a", "b", "shared", jaccard.alias("score"))
+    return out.where(F.col("score") >= least) if least > 0 else out
 
 
 def top_k_of_either_side(pairs: DataFrame, cutoff: float, top_k: int) -> DataFrame:
@@ -99,13 +130,26 @@ def top_k_of_either_side(pairs: DataFrame, cutoff: float, top_k: int) -> DataFra
     return both.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= top_k).drop("r")
 
 
-def same_class_pairs(companies: DataFrame, methods: list[str]) -> DataFrame:
+#: The column of each classification.
+CLASSIFICATIONS = {"SIC": "sic", "NAICS": "naics", "SECTOR": "sector", "INDUSTRY": "industry"}
+
+
+def industry_pairs(companies: DataFrame, method: str = "SIC") -> DataFrame:
+    """a < b, method, classification, score 1: companies of one class by ``method``; blank and zero classes are none."""
+    column = CLASSIFICATIONS[method]
+    if column not in companies.columns:
+        return companies.select(F.col("cik").alias("a"), F.col("cik").alias("b"), F.lit(method).alias("method"), F.lit("").alias("classification"), F.lit(1.0).alias("score")).limit(0)
+    kept = companies.where(F.col(column).isNotNull() & ~F.col(column).cast("string").isin("", "0")).select("cik", F.col(column).cast("string").alias("classification"))
+    met = kept.withColumnRenamed("cik", "a").join(kept.withColumnRenamed("cik", "b"), "classification").where("a < b")
+    return met.select("a", "b", F.lit(method).alias("method"), "classification", F.lit(1.0).alias("score"))
+
+
+def same_class_pairs(companies: DataFrame, methods: list[str], around: object | None = None) -> DataFrame:
     """a < b, method: companies of one class; the first method that pairs them wins."""
     out = None
     for rank, m in enumerate(methods):
-        c = companies.where(F.col(m).isNotNull()).select("cik", F.col(m).cast("string").alias("class"))
-        x, y = c.select(F.col("cik").alias("a"), "class"), c.select(F.col("cik").alias("b"), "class")
-        one = x.join(y, "class").where("a < b").select("a", "b", F.lit(m).alias("method"), F.lit(rank).alias("rank"))
+        c = companies.where(F.col(m).isNotNull()).select(F.col("cik").alias("n"), F.col(m).cast("string").alias("class"))
+        one = _pairs(c, "class", around).select("a", "b", F.lit(m).alias("method"), F.lit(rank).alias("rank"))
         out = one if out is None else out.unionByName(one)
     return out.groupBy("a", "b").agg(F.min_by("method", "rank").alias("method"))
 
@@ -117,14 +161,18 @@ def size_bucket(metric: str) -> Column:
     return F.when(value < low, 0).when(value < mid, 1).when(value < high, 2).when(value.isNotNull(), 3)
 
 
-def size_pairs(companies: DataFrame, metrics: tuple[str, ...] = SIZE_METRICS) -> DataFrame:
+#: The metrics of each method; any other name means all of them.
+SIZE_METHODS = {"REVENUE": ("revenue",), "MARKET_CAP": ("market_cap",), "EMPLOYEES": ("employees",)}
+
+
+def size_pairs(companies: DataFrame, method: str = "COMPOSITE", around: object | None = None) -> DataFrame:
     """a < b, method, bucket: companies of one bucket of the first metric that pairs them."""
+    metrics = SIZE_METHODS.get(method, SIZE_METRICS)
     buckets = companies.select("cik", *(size_bucket(m).alias(m) for m in metrics))
     out = None
     for rank, m in enumerate(metrics):
-        c = buckets.where(F.col(m).isNotNull()).select("cik", F.col(m).alias("bucket"))
-        x, y = c.select(F.col("cik").alias("a"), "bucket"), c.select(F.col("cik").alias("b"), "bucket")
-        one = x.join(y, "bucket").where("a < b").select("a", "b", F.struct(F.lit(rank).alias("rank"), F.lit(m).alias("method"), "bucket").alias("s"))
+        c = buckets.where(F.col(m).isNotNull()).select(F.col("cik").alias("n"), F.col(m).alias("bucket"))
+        one = _pairs(c, "bucket", around).select("a", "b", F.struct(F.lit(rank).alias("rank"), F.lit(m).alias("method"), "bucket").alias("s"))
         out = one if out is None else out.unionByName(one)
     return out.groupBy("a", "b").agg(F.min("s").alias("s")).select("a", "b", "s.method", "s.bucket")
 

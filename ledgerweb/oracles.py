@@ -38,14 +38,14 @@ GRAPH = "WITH RECURSIVE " + ",\n".join([
     *(
         f"""{name}_vec AS (
     SELECT vec_id - {shift} * n AS cik, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda y: y * y)))) AS e
-    FROM embeddings, n_company WHERE vec_id - {shift} * n IN (SELECT s_suppkey FROM supplier)
+    FROM embeddings, n_company WHERE vec_id - {shift} * n IN (SELECT s_suppkey FROM supplier) AND vec_id IN (SELECT doc_id FROM documents WHERE length(text) >= 200)
 ), {name}_near AS (
     SELECT x.cik AS a, y.cik AS b, round(list_dot_product(x.e, y.e), 9) AS score FROM {name}_vec x JOIN {name}_vec y ON x.cik <> y.cik
 ), {name}_pairs AS (
     SELECT least(a, b) AS key1, greatest(a, b) AS key2, max(score) AS score
     FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS r FROM {name}_near) WHERE r <= 50 AND score >= 0.25 GROUP BY 1, 2
 )"""
-        for name, shift in (("description", 0), ("risk", 1))
+        for name, shift in (("description", 0), ("risk", 1), ("keyword", 2))
     ),
     """tech_size AS (SELECT cik, count(*) AS n FROM company_uses GROUP BY 1), tech_jaccard AS (
     SELECT a, b, shared, shared / (x.n + y.n - shared) AS score FROM (
@@ -171,25 +171,35 @@ starts AS (
 
 _VECTORS = ", v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), s AS (SELECT v.vec_id, round(list_cosine_similarity(v.e, q.e), 6) AS score FROM v, (SELECT e FROM v WHERE vec_id = 3) q)\n"
 
+_EXTENDED = """, industry_edges AS (
+    SELECT a, b, min_by(method, rank) AS method FROM (
+        SELECT x.cik AS a, y.cik AS b, 'SIC' AS method, 0 AS rank FROM company x JOIN company y ON x.sic = y.sic AND x.cik < y.cik
+        UNION ALL SELECT x.cik, y.cik, 'INDUSTRY', 1 FROM company x JOIN company y ON x.industry = y.industry AND x.cik < y.cik
+        UNION ALL SELECT x.cik, y.cik, 'SECTOR', 2 FROM company x JOIN company y ON x.sector = y.sector AND x.cik < y.cik
+    ) GROUP BY 1, 2
+), every AS (
+    SELECT src, dst, rel_type, score, NULL::VARCHAR AS method FROM similar_edges WHERE rel_type <> 'SIMILAR_INDUSTRY'
+    UNION ALL SELECT a, b, 'SIMILAR_INDUSTRY', 1.0, method FROM industry_edges
+    UNION ALL SELECT key1, key2, 'SIMILAR_KEYWORD', round(score, 6), NULL FROM keyword_pairs
+    UNION ALL SELECT src, dst, 'HAS_COMPETITOR', confidence, NULL FROM has_competitor
+), extended AS (SELECT CASE WHEN src = 7 THEN dst ELSE src END AS dst, rel_type, score::DOUBLE AS score, method FROM every WHERE src = 7 OR dst = 7)
+"""
+
 OPERATORS = {
-    "sim18_extended_similar": """, x AS (
-    SELECT src, dst, rel_type, score FROM similar_edges
-    UNION ALL SELECT least(src, dst), greatest(src, dst), 'HAS_COMPETITOR', max(confidence) FROM has_competitor GROUP BY 1, 2
-), y AS (
-    SELECT dst, sum(score * CASE rel_type WHEN 'HAS_COMPETITOR' THEN 4.0 WHEN 'SIMILAR_DESCRIPTION' THEN 0.8 WHEN 'SIMILAR_RISK' THEN 0.8 WHEN 'SIMILAR_INDUSTRY' THEN 0.72 WHEN 'SIMILAR_SIZE' THEN 0.2 ELSE 0.3 END) AS score,
-        count(*) FILTER (rel_type = 'HAS_COMPETITOR') AS c, count(*) FILTER (rel_type = 'SIMILAR_INDUSTRY') AS i, count(*) FILTER (rel_type = 'SIMILAR_SIZE') AS z, count(*) FILTER (rel_type = 'SIMILAR_RISK') AS r
-    FROM (SELECT src, dst, rel_type, score FROM x UNION ALL SELECT dst, src, rel_type, score FROM x) WHERE src = 7 GROUP BY 1
+    "sim18_extended_similar": _EXTENDED + """, y AS (
+    SELECT dst, count(*) AS edge_count, sum(score * CASE rel_type WHEN 'HAS_COMPETITOR' THEN 4.0 WHEN 'SIMILAR_DESCRIPTION' THEN 0.8 WHEN 'SIMILAR_RISK' THEN 0.8 WHEN 'SIMILAR_TECHNOLOGY' THEN 0.3 WHEN 'SIMILAR_SIZE' THEN 0.2 WHEN 'SIMILAR_KEYWORD' THEN 0.1
+            ELSE 0.6 * CASE method WHEN 'SIC' THEN 1.2 WHEN 'INDUSTRY' THEN 0.8 ELSE 0.6 END END) AS base,
+        count(*) FILTER (rel_type = 'SIMILAR_RISK') AS risk_matches, count(*) FILTER (method = 'SIC') AS sic_matches, count(*) FILTER (rel_type = 'SIMILAR_SIZE') AS z,
+        count(*) FILTER (rel_type = 'SIMILAR_DESCRIPTION') AS desc_matches, count(*) FILTER (rel_type = 'SIMILAR_TECHNOLOGY') AS tech_matches, count(*) FILTER (rel_type = 'HAS_COMPETITOR') AS competitor_matches
+    FROM extended GROUP BY 1
 )
-SELECT dst, round(score + CASE WHEN i > 0 AND z > 0 THEN 0.2 ELSE 0 END + CASE WHEN r > 0 AND i > 0 THEN 0.2 ELSE 0 END, 6) AS score, c AS has_competitor_matches, i AS similar_industry_matches FROM y ORDER BY 2 DESC, 1 LIMIT 20""",
-    "sim20_similarity_breakdown": """, t AS (SELECT technology FROM company_uses WHERE cik = 7 INTERSECT SELECT technology FROM company_uses WHERE cik = 9)
-SELECT coalesce((SELECT array_to_string(list_sort(list(rel_type || ':' || score::DECIMAL(9, 6))), ',') FROM similar_edges WHERE src = 7 AND dst = 9), '') AS kinds,
-    (SELECT count(*) FROM t) AS n_shared, coalesce((SELECT array_to_string(list_sort(list(technology)), ',') FROM t), '') AS shared""",
-    "ent34_verdicts": """SELECT rel_type, src, dst, CASE WHEN said = rel_type THEN 'confirmed' ELSE 'contradicted' END AS result, CASE WHEN said = rel_type THEN '' ELSE said END AS suggested, 0.9::DOUBLE AS confidence
-FROM (SELECT *, CASE WHEN mentions % 2 = 0 THEN 'HAS_COMPETITOR' ELSE 'HAS_SUPPLIER' END AS said FROM all_edges)""",
-    "rag06_answer_context": _VECTORS + """, best AS (SELECT vec_id, score FROM s WHERE score >= 0 ORDER BY score DESC, vec_id LIMIT 10),
-u AS (SELECT src, dst FROM has_competitor UNION SELECT dst, src FROM has_competitor), one AS (SELECT dst AS node FROM u WHERE src = 7),
-hop AS (SELECT node, min(h)::BIGINT AS hops FROM (SELECT node, 1 AS h FROM one UNION ALL SELECT dst, 2 FROM one JOIN u ON src = node) WHERE node <> 7 GROUP BY 1)
-SELECT vec_id AS chunk_id, score, hops, md5('[' || vec_id || '] ' || text) AS line FROM best JOIN documents ON doc_id = vec_id LEFT JOIN hop ON node = vec_id % (SELECT count(*) FROM supplier) ORDER BY score DESC, vec_id LIMIT 5""",
+SELECT dst, ticker, name, sector, industry, edge_count, round(base + CASE WHEN sic_matches > 0 AND z > 0 THEN 0.2 ELSE 0 END + CASE WHEN risk_matches > 0 AND sic_matches > 0 THEN 0.2 ELSE 0 END, 6) AS weighted_score,
+    risk_matches, sic_matches, desc_matches, tech_matches, competitor_matches
+FROM y JOIN company ON cik = dst
+ORDER BY weighted_score DESC, competitor_matches DESC, (industry = (SELECT industry FROM company WHERE cik = 7)) DESC, risk_matches DESC, sic_matches DESC, desc_matches DESC, tech_matches DESC, edge_count DESC, dst LIMIT 20""",
+    "sim20_similarity_breakdown": _EXTENDED + """, t AS (SELECT technology FROM company_uses WHERE cik = 7 INTERSECT SELECT technology FROM company_uses WHERE cik = 9)
+SELECT rel_type, score, method, (SELECT count(*) FROM t) AS shared_tech_count, coalesce((SELECT array_to_string(list_sort(list(technology)), ',') FROM t), '') AS shared_technologies
+FROM extended WHERE dst = 9 AND rel_type LIKE 'SIMILAR%'""",
     "gra01_pagerank": _SHARES + """, pr(it, node, rank) AS (
     SELECT 0, cik, 0.15::DOUBLE FROM company
     UNION ALL
@@ -197,7 +207,7 @@ SELECT vec_id AS chunk_id, score, hops, md5('[' || vec_id || '] ' || text) AS li
 )
 SELECT node, round(rank, 6) AS rank FROM pr WHERE it = 20""",
     "gra03_degrees": f"SELECT cik AS node, i.n AS in_degree, o.n AS out_degree FROM company LEFT JOIN {_IN} i USING (cik) LEFT JOIN {_OUT} o USING (cik)",
-    "gra06_adoption": _adoption("technology LIKE 'Brand#1/%'", 20) + "SELECT domain, source AS technology, score FROM ranked WHERE r <= 20",
+    "gra06_adoption": _adoption("true", 50) + "SELECT domain, source AS technology, score FROM ranked WHERE r <= 50",
     "joi16_typed_paths": """, f AS (SELECT src, dst, 'HAS_COMPETITOR' AS t FROM has_competitor UNION ALL SELECT src, dst, 'HAS_SUPPLIER' FROM has_supplier),
 u AS (SELECT src, dst, t, least(src, dst) || '|' || greatest(src, dst) || '|' || t AS id FROM f UNION ALL SELECT dst, src, t, least(src, dst) || '|' || greatest(src, dst) || '|' || t FROM f)
 SELECT node, hops, types, count(*) AS paths FROM (
@@ -222,7 +232,7 @@ SELECT x.src, y.src AS dst, round(max(score), 6) AS score, count(*) AS domain_pa
     "qry30_candidate_review": f"SELECT replace(rel_type, 'HAS_', 'CANDIDATE_') AS rel_type, src, dst, embedding_similarity FROM all_edges WHERE {_TIER} = 'medium' ORDER BY embedding_similarity DESC, 1, src, dst LIMIT 25",
     "snk01_latest_observations": "SELECT user_id, arg_max(value, (ts, event_id)) FILTER (event_type = 'click') AS click, arg_max(value, (ts, event_id)) FILTER (event_type = 'error') AS error, arg_max((props->>'k')::BIGINT, (ts, event_id)) FILTER (props->>'k' IS NOT NULL) AS k FROM events GROUP BY 1",
     "snk05_filled_companies": "SELECT cik, coalesce(revenue, min(revenue) OVER (PARTITION BY sic)) AS revenue FROM company",
-    "snk06_upserted_companies": "SELECT coalesce(cik, c_custkey) AS cik, coalesce(CASE WHEN c_acctbal > 0 THEN c_acctbal END, revenue) AS revenue, c_mktsegment AS segment FROM company FULL JOIN customer ON cik = c_custkey",
+    "snk06_upserted_companies": "SELECT cik, coalesce(CASE WHEN c_acctbal > 0 THEN c_acctbal END, revenue) AS revenue, c_mktsegment AS segment FROM company LEFT JOIN customer ON cik = c_custkey",
     "snk07_merged_companies": ", x AS (SELECT cik, CASE WHEN cik % 3 = 0 THEN employees::DOUBLE END AS s, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS m FROM company LEFT JOIN customer ON cik = c_custkey) SELECT cik, coalesce(s, m) AS registry_first, coalesce(m, s) AS market_first, concat_ws(',', CASE WHEN s IS NOT NULL THEN 'SEC' END, CASE WHEN m IS NOT NULL THEN 'MARKET' END) AS data_source FROM x",
     "snk13_documents": _CHUNKS + "SELECT doc_id, count(*) AS chunk_count FROM chunks GROUP BY 1",
     "snk15_duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
@@ -234,18 +244,15 @@ SELECT x.src, y.src AS dst, round(max(score), 6) AS score, count(*) AS domain_pa
     "ent37_tiers": f"SELECT rel_type, src, dst, {_TIER} AS tier FROM all_edges",
     "rag01_chunks": _CHUNKS + "SELECT doc_id || '_chunk_' || chunk_index AS chunk_id, chunk_index, length(text) AS n_chars, md5(text) AS digest FROM chunks",
     "rag04_search": _VECTORS + "SELECT vec_id, score FROM s WHERE score >= 0.2 ORDER BY score DESC, vec_id LIMIT 10",
-    "rag05_search_around": _VECTORS + "SELECT vec_id, score FROM s WHERE vec_id % (SELECT count(*) FROM supplier) IN (SELECT 7 UNION SELECT dst FROM has_competitor WHERE src = 7 UNION SELECT src FROM has_competitor WHERE dst = 7) AND score >= 0 ORDER BY score DESC, vec_id LIMIT 10",
     "emb02_aggregated": ", x AS (SELECT label, exp(-0.2 * (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1)) AS w, embedding::DOUBLE[] AS e FROM embeddings), y AS (SELECT label, w, unnest(range(0, len(e))) AS pos, unnest(e) AS v FROM x) SELECT label, pos, round(avg(v), 6) AS average, round(sum(v * w) / sum(w), 6) AS weighted, round(max(v), 6) AS maximum FROM y GROUP BY 1, 2",
     "emb06_token_counts": "SELECT source, sum(length(text) // 4)::BIGINT AS tokens FROM documents GROUP BY 1",
     "emb08_text_hash": f"SELECT doc_id, CASE WHEN text IS NULL OR {_STRIP.format('text')} = '' THEN '' ELSE sha256({_STRIP.format('text')}) END AS digest FROM documents",
-    "joi20_partial_names": """, pn AS (SELECT p_name AS name, min(p_partkey) AS cik FROM part GROUP BY 1), n AS (SELECT DISTINCT left(name, length(name) - 1) AS name FROM pn), m AS (
-    SELECT n.name, c.cik, CASE WHEN lower(n.name) = lower(c.name) THEN 0.95 ELSE 0.85 * length(n.name) / length(c.name) END AS confidence FROM n JOIN pn c ON starts_with(lower(c.name), lower(n.name))
-)
-SELECT name, cik, round(confidence, 6) AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY confidence DESC, cik) AS r FROM m WHERE confidence = 0.95 OR confidence > 0.85 * 0.6) WHERE r = 1""",
-    "emb05_worklist": f", h AS (SELECT doc_id, text, source, CASE WHEN {_STRIP.format('text')} = '' THEN '' ELSE sha256({_STRIP.format('text')}) END AS digest FROM documents) SELECT doc_id, digest FROM h WHERE length(text) >= 200 AND digest NOT IN (SELECT digest FROM h WHERE source = 'src1')",
+    "emb05_worklist": f", h AS (SELECT doc_id, text, source, CASE WHEN {_STRIP.format('text')} = '' THEN '' ELSE sha256({_STRIP.format('text')}) END AS digest FROM documents) SELECT doc_id, digest, length(text) // 4 <= 300 AS whole FROM h WHERE length(text) >= 200 AND digest NOT IN (SELECT digest FROM h WHERE source = 'src1')",
     "txt08_domains": "SELECT page_id, regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1), '^www[.]', '') AS host, regexp_extract(regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1), '([^.]+[.][^.]+)$', 1) AS domain FROM pages",
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: GRAPH + v for k, v in (CATALOGUE | OPERATORS).items()}
+    from . import oracles_entities, oracles_ingest
+
+    return {k: GRAPH + v for k, v in (CATALOGUE | OPERATORS | oracles_ingest.INGEST | oracles_entities.ENTITIES).items()}

@@ -1,0 +1 @@
+ENTITIES = {}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.algorithms import pagerank
+from ..operators.ranking import numbered, top_k_per_group
 from ..operators.similarity import set_jaccard_pairs, top_k_of_either_side
 from ..session import cut
 
@@ -42,9 +43,12 @@ def adoption(uses: DataFrame, targets: DataFrame | None = None, top_k: int = 50,
     held = uses.join(ranks, "technology").groupBy("source", "domain").agg(F.max("rank").alias("best"), F.count("*").alias("n"))
     score = F.round(F.col("best") * (1 + F.log(F.col("n") + 1)), 6)
     scored = held.select("source", "domain", score.alias("score"))
-    if batch:
-        scored = scored.drop("source").join(rare.withColumnRenamed("technology", "source"))
     owned = uses.select("domain", F.col("technology").alias("source"))
+    if batch:
+        # one ranking for all targets: the first top_k that do not own a target are among its first top_k + owners
+        places = numbered(scored.drop("source"), "place", F.desc("score"), F.asc("domain"))
+        owners = owned.join(rare.withColumnRenamed("technology", "source"), "source", "left_semi").groupBy("source").agg(F.count("*").alias("owners"))
+        asked = owners.select("source", F.explode(F.sequence(F.lit(1), (F.col("owners") + top_k).cast("int"))).cast("long").alias("place"))
+        scored = asked.join(places.withColumn("place", F.col("place").cast("long")), "place").select("source", "domain", "score")
     open_ = scored.join(owned, ["domain", "source"], "left_anti")
-    rank = Window.partitionBy("source").orderBy(F.desc("score"), F.asc("domain"))
-    return open_.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= top_k).select("domain", F.col("source").alias("technology"), "score")
+    return top_k_per_group(open_, ["source"], top_k, F.desc("score"), F.asc("domain")).select("domain", F.col("source").alias("technology"), "score")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as V
 from ..graph import BusinessGraph
 from ..operators import paths, similarity
 from ..operators.algorithms import degrees
@@ -66,24 +69,33 @@ def risk_pairs(g: BusinessGraph, threshold: float = 0.25, top: int = 50) -> Data
     return similarity.top_k_similar_pairs(g.company_vectors(1), threshold, top, key="cik")
 
 
-def similar_edges(g: BusinessGraph) -> DataFrame:
-    """src < dst, rel_type, score of every kind of similarity."""
+def keyword_pairs(g: BusinessGraph, threshold: float = 0.25, top: int = 50) -> DataFrame:
+    return similarity.top_k_similar_pairs(g.company_vectors(2), threshold, top, key="cik")
+
+
+def similar_edges(g: BusinessGraph, around: int | None = None) -> DataFrame:
+    """src < dst, rel_type, score of every kind of similarity; with ``around`` only those of one company.
+
+    Classes, sizes and technologies are then joined from that company's side.  Vectors are compared
+    whole all the same: whether a pair counts hangs on the other company's nearest ones, too.
+    """
     def typed(df: DataFrame, a: str, b: str, kind: str, score: str | None = None) -> DataFrame:
-        return df.select(F.col(a).alias("src"), F.col(b).alias("dst"), F.lit(kind).alias("rel_type"), (F.round(score, 6) if score else F.lit(1.0)).alias("score"))
+        out = df.select(F.col(a).alias("src"), F.col(b).alias("dst"), F.lit(kind).alias("rel_type"), (F.round(score, 6) if score else F.lit(1.0)).alias("score"))
+        return out if around is None else out.where((F.col("src") == around) | (F.col("dst") == around))
 
-    tech = similarity.set_jaccard_pairs(g.company_uses, "cik", "technology").where("score >= 0.2")
+    tech = similarity.set_jaccard_pairs(g.company_uses, "cik", "technology", 0.2, around)
     return (
         typed(description_pairs(g), "key1", "key2", "SIMILAR_DESCRIPTION", "score")
         .unionByName(typed(risk_pairs(g), "key1", "key2", "SIMILAR_RISK", "score"))
-        .unionByName(typed(similarity.same_class_pairs(g.company, ["sic", "sector"]).where("method = 'sic'"), "a", "b", "SIMILAR_INDUSTRY"))
-        .unionByName(typed(similarity.size_pairs(g.company), "a", "b", "SIMILAR_SIZE"))
+        .unionByName(typed(similarity.same_class_pairs(g.company, ["sic", "sector"], around).where("method = 'sic'"), "a", "b", "SIMILAR_INDUSTRY"))
+        .unionByName(typed(similarity.size_pairs(g.company, around=around), "a", "b", "SIMILAR_SIZE"))
         .unionByName(typed(tech, "a", "b", "SIMILAR_TECHNOLOGY", "score"))
     )
 
 
 def similar_companies(g: BusinessGraph, cik: int = 7, least: float = 0.1, limit: int = 20) -> DataFrame:
     """Weighted risk and description similarity with a bonus for each shared technology."""
-    text = similar_edges(g).where(F.col("rel_type").isin("SIMILAR_DESCRIPTION", "SIMILAR_RISK"))
+    text = similar_edges(g, cik).where(F.col("rel_type").isin("SIMILAR_DESCRIPTION", "SIMILAR_RISK"))
     s = similarity.weighted_similar(text, {"SIMILAR_RISK": 0.8, "SIMILAR_DESCRIPTION": 0.8}).where(F.col("src") == cik)
     mine = g.company_uses.where(F.col("cik") == cik).select("technology")
     shared = g.company_uses.join(mine, "technology").groupBy(F.col("cik").alias("dst")).agg(F.count("*").alias("shared_tech"))
@@ -214,20 +226,58 @@ def coverage(g: BusinessGraph) -> DataFrame:
     return g.company.join(d, "cik", "left").join(c, "cik", "left").agg(F.count("*").alias("companies"), F.count("revenue").alias("with_revenue"), F.count("d").alias("with_domain"), F.sum(F.when(F.col("c").isNotNull(), 1).otherwise(0)).alias("with_competitor"))
 
 
-def extended_similar(g: BusinessGraph, cik: int = 7, limit: int = 20) -> DataFrame:
-    """Every kind of edge weighted, with bonuses for industry and size, and risk and industry."""
-    e = similar_edges(g)
-    rivals = g.edges("HAS_COMPETITOR").groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.max("confidence").alias("score"))
-    e = e.unionByName(rivals.select("src", "dst", F.lit("HAS_COMPETITOR").alias("rel_type"), "score"))
-    weights = {"HAS_COMPETITOR": 4.0, "SIMILAR_DESCRIPTION": 0.8, "SIMILAR_RISK": 0.8, "SIMILAR_INDUSTRY": 0.6 * 1.2, "SIMILAR_SIZE": 0.2, "SIMILAR_TECHNOLOGY": 0.3}
-    s = similarity.weighted_similar(e, weights).where(F.col("src") == cik)
-    bonus = F.when((F.col("similar_industry_matches") > 0) & (F.col("similar_size_matches") > 0), 0.2).otherwise(0.0) + F.when((F.col("similar_risk_matches") > 0) & (F.col("similar_industry_matches") > 0), 0.2).otherwise(0.0)
-    return top_k(s.select("dst", F.round(F.col("score") + bonus, 6).alias("score"), "has_competitor_matches", "similar_industry_matches"), limit, F.desc("score"), F.asc("dst"))
-
-
-def similarity_breakdown(g: BusinessGraph, a: int = 7, b: int = 9) -> DataFrame:
-    """What makes two companies alike, and the technologies they share."""
-    e = similar_edges(g).where((F.least("src", "dst") == min(a, b)) & (F.greatest("src", "dst") == max(a, b)))
-    kinds = e.agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "rel_type", F.col("score").cast("decimal(9,6)").cast("string")))), ",").alias("kinds"))
+#: What each kind of edge weighs.
+EXTENDED_WEIGHTS = {"HAS_COMPETITOR": 4.0, "SIMILAR_DESCRIPTION": 0.8, "SIMILAR_RISK": 0.8, "SIMILAR_INDUSTRY": 0.6, "SIMILAR_TECHNOLOGY": 0.3, "SIMILAR_SIZE": 0.2, "SIMILAR_KEYWORD": 0.1}
+
+
+def extended_edges(g: BusinessGraph, cik: int) -> DataFrame:
+    """dst, rel_type, score, method of every edge of one company, in either direction.
+
+    Industry edges of all classifications carry their method; a likeness counts once however it is
+    stored, each statement of competition by itself.
+    """
+    alike = similar_edges(g, cik).where("rel_type <> 'SIMILAR_INDUSTRY'").withColumn("method", F.lit(None).cast("string"))
+    industry = similarity.same_class_pairs(g.company, ["sic", "industry", "sector"], cik).select(F.col("a").alias("src"), F.col("b").alias("dst"), F.lit("SIMILAR_INDUSTRY").alias("rel_type"), F.lit(1.0).alias("score"), F.upper("method").alias("method"))
+    words = keyword_pairs(g).select(F.col("key1").alias("src"), F.col("key2").alias("dst"), F.lit("SIMILAR_KEYWORD").alias("rel_type"), F.round("score", 6).alias("score"), F.lit(None).cast("string").alias("method"))
+    rivals = g.edges("HAS_COMPETITOR").select("src", "dst", F.lit("HAS_COMPETITOR").alias("rel_type"), F.col("confidence").alias("score"), F.lit(None).cast("string").alias("method"))
+    every = alike.unionByName(industry).unionByName(words).unionByName(rivals).where((F.col("src") == cik) | (F.col("dst") == cik))
+    return every.select(F.when(F.col("src") == cik, F.col("dst")).otherwise(F.col("src")).alias("dst"), "rel_type", "score", "method")
+
+
+def extended_similar(g: BusinessGraph, cik: int = 7, limit: int = 20, weights: dict[str, float] | None = None, least: float = 0.0) -> DataFrame:
+    """Companies by the weighted sum of all their edges to one, with bonuses for one industry code and
+    size, and for one industry code and risk; eight keys order them, then the company's number."""
+    weights = weights or EXTENDED_WEIGHTS
+    kind, score = F.col("rel_type"), F.coalesce("score", F.lit(1.0))
+    by_method = reduce(lambda c, kv: c.when(F.col("method") == kv[0], kv[1]), V.INDUSTRY_WEIGHTS.items(), F).otherwise(0.7)
+    weight = reduce(lambda c, kv: c.when(kind == kv[0], kv[1] * (by_method if kv[0] == "SIMILAR_INDUSTRY" else score)), weights.items(), F).otherwise(0.0)
+    count = lambda name, test: F.count(F.when(test, 1)).alias(name)
+    e = extended_edges(g, cik).where(kind.isin(*weights)).groupBy("dst").agg(
+        F.sum(weight).alias("base"), count("risk_matches", kind == "SIMILAR_RISK"), count("sic_matches", (kind == "SIMILAR_INDUSTRY") & (F.col("method") == "SIC")),
+        count("size_matches", kind == "SIMILAR_SIZE"), count("desc_matches", kind == "SIMILAR_DESCRIPTION"), count("tech_matches", kind == "SIMILAR_TECHNOLOGY"),
+        count("competitor_matches", kind == "HAS_COMPETITOR"), F.count("*").alias("edge_count"),
+    )
+    bonus = lambda a, b: F.when((F.col(a) > 0) & (F.col(b) > 0), 0.2).otherwise(0.0)
+    total = F.round(F.col("base") + bonus("sic_matches", "size_matches") + bonus("risk_matches", "sic_matches"), 6)
+    mine = g.company.where(F.col("cik") == cik).select(F.col("industry").alias("own")).limit(1)  # one row
+    out = e.withColumn("weighted_score", total).where(F.col("weighted_score") >= least).join(g.company.withColumnRenamed("cik", "dst"), "dst").crossJoin(F.broadcast(mine))
+    out = out.withColumn("same", F.coalesce((F.col("own") == F.col("industry")).cast("int"), F.lit(0)))
+    order = ["weighted_score", "competitor_matches", "same", "risk_matches", "sic_matches", "desc_matches", "tech_matches", "edge_count"]
+    shown = ["dst", "ticker", "name", "sector", "industry", "edge_count", "weighted_score", "risk_matches", "sic_matches", "desc_matches", "tech_matches", "competitor_matches"]
+    return top_k(out, limit, *map(F.desc, order), F.asc("dst")).select(*shown)
+
+
+def similarity_breakdown(g: BusinessGraph, a: int = 7, b: int = 9, other_edges: DataFrame | None = None) -> DataFrame:
+    """One row: direct_relationships (rel_type, score, method) of two companies, and the technologies they share.
+
+    ``other_edges(src, dst, rel_type)`` holds common executives, mergers and the like, which have no score.
+    """
+    e = extended_edges(g, a).where((F.col("dst") == b) & F.col("rel_type").startswith("SIMILAR")).select("rel_type", "score", "method")
+    if other_edges is not None:
+        pair = F.array(F.col("src"), F.col("dst"))
+        more = other_edges.where(F.array_contains(pair, a) & F.array_contains(pair, b) & F.col("rel_type").isin("COMMON_EXECUTIVE", "MERGED_OR_ACQUIRED"))
+        e = e.unionByName(more.select("rel_type"), allowMissingColumns=True)
+    kinds = e.agg(F.array_sort(F.collect_list(F.struct("rel_type", "score", "method"))).alias("direct_relationships"))
     tech = g.company_uses.where(F.col("cik") == a).select("technology").intersect(g.company_uses.where(F.col("cik") == b).select("technology"))
-    return kinds.crossJoin(tech.agg(F.count("*").alias("n_shared"), listed("technology").alias("shared")))  # one row each
+    shared = tech.agg(F.array_sort(F.collect_list("technology")).alias("shared_technologies"), F.count("*").alias("shared_tech_count"))
+    return kinds.crossJoin(shared)  # one row each

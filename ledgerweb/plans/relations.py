@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import resolution as R
 from ..functions import text as T
-from ..operators.ranking import keep_first
 from ..sources.filings import filing_metadata
 
 KEYWORDS = {
@@ -99,26 +98,13 @@ def mention_text(mention: Column, context: Column, hint: Column | None = None, m
     return F.concat_ws(" : ", named, F.nullif(short, F.lit("")))
 
 
-def partial_matches(names: DataFrame, companies: DataFrame) -> DataFrame:
-    """name, cik, confidence: the best company whose name starts with ``name`` or the other way round.
+def embedding_worklist(nodes: DataFrame, done: DataFrame, key: str, text: str, model: str | None = None, dim: int | None = None, direct: int = 8000) -> DataFrame:
+    """Nodes whose text is long enough and has no vector yet: key, text, digest, whole (whether it is short enough for one call).
 
-    .95 if the shorter ends where a word of the longer does, else .85 times their ratio, which
-    has to be over .6.  Only names with the same first word meet.
+    Vectors are known by their text's hash, so an edited text gets a new one; with ``model`` and
+    ``dim`` only vectors of ``done(digest, model, dim)`` that match both count.
     """
-    first = lambda c: F.split(F.lower(c), " ")[0]
-    a = names.select("name", F.lower("name").alias("x"), first(F.col("name")).alias("w"))
-    b = companies.select("cik", F.lower("name").alias("y"), first(F.col("name")).alias("w"))
-    short, long = F.when(F.length("x") <= F.length("y"), F.col("x")).otherwise(F.col("y")), F.when(F.length("x") <= F.length("y"), F.col("y")).otherwise(F.col("x"))
-    ratio = F.length(short) / F.length(long)
-    met = a.join(b, "w").where(long.startswith(short))
-    score = F.when(long.startswith(F.concat(short, F.lit(" "))) | (short == long), 0.95).when(ratio > 0.6, 0.85 * ratio)
-    return keep_first(met.withColumn("confidence", score).where("confidence IS NOT NULL"), ["name"], F.desc("confidence"), F.asc("cik")).select("name", "cik", "confidence")
-
-
-def embedding_worklist(nodes: DataFrame, done: DataFrame, key: str, text: str) -> DataFrame:
-    """Nodes whose text is long enough and has no vector yet: key, text, digest.
-
-    Vectors are known by their text's hash, so an edited text gets a new one.
-    """
-    work = nodes.where(F.length(text) >= EMBED_CHARS).select(key, text, T.text_hash(F.col(text)).alias("digest"))
+    if model is not None:
+        done = done.where((F.col("model") == model) & (F.col("dim") == dim))
+    work = nodes.where(F.length(text) >= EMBED_CHARS).select(key, text, T.text_hash(F.col(text)).alias("digest"), (T.token_estimate(F.col(text)) <= direct).alias("whole"))
     return work.join(done.select("digest").distinct(), "digest", "left_anti")

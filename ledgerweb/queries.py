@@ -18,6 +18,12 @@ def _on_graph(f: Callable[[BusinessGraph], DataFrame]) -> Callable[[SparkSession
     return lambda spark, sf_dir: f(BusinessGraph(spark, sf_dir))
 
 
+def breakdown(g: BusinessGraph) -> DataFrame:
+    """A row for each relation of two companies, beside the technologies that they share."""
+    rows = catalogue.similarity_breakdown(g).select(F.explode("direct_relationships").alias("r"), F.array_join("shared_technologies", ",").alias("shared_technologies"), "shared_tech_count")
+    return rows.select("r.rel_type", "r.score", "r.method", "shared_tech_count", "shared_technologies")
+
+
 CATALOGUE = {
     "qry01_market_leaders": catalogue.market_leaders,
     "qry02_threat_ratio": catalogue.threat_ratio,
@@ -50,7 +56,7 @@ CATALOGUE = {
     "qry33_coverage": catalogue.coverage,
     "sim17_similar_companies": catalogue.similar_companies,
     "sim18_extended_similar": catalogue.extended_similar,
-    "sim20_similarity_breakdown": catalogue.similarity_breakdown,
+    "sim20_similarity_breakdown": breakdown,
 }
 
 
@@ -62,19 +68,6 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
-def _targets(g: BusinessGraph) -> DataFrame:
-    return g.technology.where(F.col("technology").startswith("Brand#1/")).select("technology")
-
-
-def adoption_prediction(g: BusinessGraph) -> DataFrame:
-    """The first 20 for the technologies of one brand: what its SQL asks for.  ``all_adoption`` has every technology."""
-    return adoption.adoption(g.uses, _targets(g), top_k=20)
-
-
-def all_adoption(g: BusinessGraph) -> DataFrame:
-    return adoption.adoption(g.uses)
-
-
 def likely_adopters(g: BusinessGraph) -> DataFrame:
     one = g.technology.where("technology = 'Brand#1/ECONOMY'").select("technology")
     return adoption.adoption(g.uses, one, top_k=10).select("domain", "score")
@@ -92,7 +85,7 @@ def technology_pairs(g: BusinessGraph) -> DataFrame:
 
 
 def via_domains(g: BusinessGraph) -> DataFrame:
-    pairs = similarity.set_jaccard_pairs(g.uses, "domain", "technology").where("score >= 0.6")
+    pairs = similarity.set_jaccard_pairs(g.uses, "domain", "technology", 0.6)
     return _rounded(similarity.via_domains(g.has_domain, pairs, 0.6), "score")
 
 
@@ -123,7 +116,7 @@ def filled_companies(g: BusinessGraph) -> DataFrame:
 
 def upserted_companies(g: BusinessGraph) -> DataFrame:
     new = g.table("customer").select(F.col("c_custkey").alias("cik"), F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("revenue"), F.col("c_mktsegment").alias("segment"))
-    return observations.upsert(g.company.select("cik", "revenue"), new, ["cik"])
+    return observations.update(g.company.select("cik", "revenue"), new, ["cik"])
 
 
 def merged_companies(g: BusinessGraph) -> DataFrame:
@@ -170,13 +163,6 @@ def vector_search(g: BusinessGraph) -> DataFrame:
     return retrieval.search(g.table("embeddings"), _query_vector(g), 10, 0.2)
 
 
-def graph_search(g: BusinessGraph) -> DataFrame:
-    vectors = g.table("embeddings")
-    n = g.table("supplier").agg(F.count("*").alias("n"))  # one row
-    owner = vectors.select("vec_id").crossJoin(F.broadcast(n)).select("vec_id", (F.col("vec_id") % F.col("n")).alias("cik"))
-    return retrieval.search_around(vectors, _query_vector(g), owner, g.edges("HAS_COMPETITOR"), 7)
-
-
 def label_embeddings(g: BusinessGraph) -> DataFrame:
     return _rounded(retrieval.aggregated_embeddings(g.table("embeddings"), "label", "vec_id"), "average", "weighted", "maximum")
 
@@ -186,33 +172,9 @@ def token_batches(g: BusinessGraph) -> DataFrame:
     return retrieval.token_batches(docs, "source", "doc_id", "tokens")
 
 
-def answer_context(g: BusinessGraph) -> DataFrame:
-    """The chunks nearest to a query vector, with the hops from a company to their owners."""
-    found = retrieval.search(g.table("embeddings"), _query_vector(g), 10, 0.0)
-    n = g.table("supplier").agg(F.count("*").alias("n"))  # one row
-    owned = found.crossJoin(F.broadcast(n)).select(F.col("vec_id").alias("chunk_id"), "score", (F.col("vec_id") % F.col("n")).alias("cik"))
-    chunk = owned.join(g.table("documents").select(F.col("doc_id").alias("chunk_id"), "text"), "chunk_id").drop("cik")
-    hops = paths.hops_from(_nodes(g).where("node = 7"), undirected(g.edges("HAS_COMPETITOR").select("src", "dst")), 2)
-    out = retrieval.answer_context(chunk, hops, owned.select("chunk_id", "cik"))
-    return out.select("chunk_id", "score", F.col("hops").cast("long").alias("hops"), F.md5("line").alias("line"))
-
-
-def mention_verdicts(g: BusinessGraph) -> DataFrame:
-    """Claims read off each relation, against a sentence made for the pair."""
-    sentence = F.when(F.col("mentions") % 2 == 0, F.concat(F.lit("We compete with "), "dst", F.lit("."))).otherwise(F.concat(F.lit("We purchase parts from "), "dst", F.lit(".")))
-    v = resolution.verified_relation(F.col("rel_type"), sentence)
-    return g.all_edges().select("rel_type", "src", "dst", v["result"].alias("result"), F.coalesce(v["suggested"], F.lit("")).alias("suggested"), v["confidence"].alias("confidence"))
-
-
-def partial_names(g: BusinessGraph) -> DataFrame:
-    parts = g.table("part").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("cik"))
-    names = parts.select(F.expr("substring(name, 1, length(name) - 1)").alias("name")).distinct()
-    return relations.partial_matches(names, parts).withColumn("confidence", F.round("confidence", 6))
-
-
 def worklist(g: BusinessGraph) -> DataFrame:
     done = g.table("documents").where("source = 'src1'").select(text.text_hash(F.col("text")).alias("digest"))
-    return relations.embedding_worklist(g.table("documents"), done, "doc_id", "text").select("doc_id", "digest")
+    return relations.embedding_worklist(g.table("documents"), done, "doc_id", "text", direct=300).select("doc_id", "digest", "whole")
 
 
 def page_domains(g: BusinessGraph) -> DataFrame:
@@ -220,23 +182,12 @@ def page_domains(g: BusinessGraph) -> DataFrame:
     return g.table("pages").select("page_id", text.host(url).alias("host"), text.root_domain(url).alias("domain"))
 
 
-def resolved_mentions(g: BusinessGraph) -> DataFrame:
-    """Who the passages of a literal filing mention."""
-    companies = g.spark.createDataFrame([(789019, "MSFT", "Microsoft Corporation"), (50863, "INTC", "Intel Corporation"), (1018724, "AMZN", "Amazon.com, Inc."), (27419, "TGT", "Target Corp")], "cik long, ticker string, name string")
-    said = g.spark.createDataFrame([(1, "Our principal competitors include Microsoft, Intel Corporation and AMZN."), (2, "Our Target date depends on Intel."), (3, "We purchase chips from Intel Corporation. IT is costly.")], "doc_id long, sentence string")
-    found = text.candidates(said, "sentence")
-    out = resolution.resolve_mentions(found, resolution.company_lookup(companies), ["doc_id"])
-    claim = resolution.verified_relation(F.lit("HAS_COMPETITOR"), F.col("sentence"))
-    return out.select("doc_id", "cik", "candidate", "match_type", F.round("confidence", 6).alias("confidence"), claim["result"].alias("verdict"))
-
-
 OPERATORS = {
     "gra01_pagerank": lambda g: _rounded(algorithms.pagerank(_nodes(g), g.edges("HAS_COMPETITOR")), "rank"),
     "gra02_communities": lambda g: algorithms.communities(_nodes(g), g.edges("HAS_COMPETITOR")),
     "gra03_degrees": lambda g: algorithms.degrees(g.edges("HAS_COMPETITOR"), _nodes(g)),
     "gra04_betweenness": lambda g: _rounded(algorithms.betweenness(_nodes(g), g.edges("HAS_COMPETITOR")), "betweenness"),
-    "gra06_adoption": adoption_prediction,
-    "gra06_all_adoption": all_adoption,
+    "gra06_adoption": lambda g: adoption.adoption(g.uses),
     "gra05_measures": lambda g: _rounded(analytics.competition_measures(_nodes(g), g.edges("HAS_COMPETITOR")), "rank", "betweenness"),
     "joi16_typed_paths": typed_paths,
     "sim07_risk_pairs": lambda g: _rounded(catalogue.risk_pairs(g), "score"),
@@ -261,19 +212,14 @@ OPERATORS = {
     "src18_filers": filers,
     "ent01_sentences": keyword_sentences,
     "ent03_candidates": lambda g: text.candidates(g.table("benchmark")),
-    "ent29_resolved_mentions": resolved_mentions,
     "ent37_tiers": tiers,
     "rag01_chunks": chunk_digests,
     "rag03_page_text": lambda g: text.html_text(g.table("pages"), "page_id"),
     "rag04_search": vector_search,
-    "rag05_search_around": graph_search,
-    "rag06_answer_context": answer_context,
-    "ent34_verdicts": mention_verdicts,
     "emb02_aggregated": label_embeddings,
     "emb06_token_counts": lambda g: g.table("documents").groupBy("source").agg(F.sum(text.token_estimate(F.col("text"))).alias("tokens")),
     "emb07_token_batches": token_batches,
     "emb08_text_hash": lambda g: g.table("documents").select("doc_id", text.text_hash(F.col("text")).alias("digest")),
-    "joi20_partial_names": partial_names,
     "emb05_worklist": worklist,
     "txt01_parsed_pages": lambda g: relations.parsed_filings(g.table("pages"), "page_id"),
     "txt08_domains": page_domains,
@@ -281,4 +227,6 @@ OPERATORS = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _on_graph(f) for k, f in (CATALOGUE | OPERATORS).items()}
+    from . import queries_entities, queries_ingest
+
+    return {k: _on_graph(f) for k, f in (CATALOGUE | OPERATORS | queries_ingest.INGEST | queries_entities.ENTITIES).items()}

@@ -66,11 +66,11 @@ def latest_archive(archives: DataFrame) -> DataFrame:
     return archives.where("members > 0").withColumn("r", F.row_number().over(order)).where("r = 1").drop("r")
 
 
-def archive_order(name: Column) -> Column:
-    """Sorts archives by the year and number in their name; batches come last."""
+def archive_order(name: Column, modified: Column | None = None) -> Column:
+    """Sorts archives by the year and number in their name; batches come last, in order of the time ``modified`` (in seconds)."""
     year = F.regexp_extract(name, r"^\d{10}-?(\d{2})-?\d+", 1)
     number = F.regexp_extract(name, r"^\d{10}-?\d{2}-?(\d+)", 1)
-    return F.when(name.startswith("batch_"), F.struct(F.lit(99).alias("year"), F.lit(0).cast("long").alias("number"))).otherwise(
+    return F.when(name.startswith("batch_"), F.struct(F.lit(99).alias("year"), (F.lit(0) if modified is None else modified).cast("long").alias("number"))).otherwise(
         F.struct(F.coalesce(F.nullif(year, F.lit("")).cast("int"), F.lit(-1)).alias("year"), F.coalesce(F.nullif(number, F.lit("")).cast("long"), F.lit(0).cast("long")).alias("number"))
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import root_domain, valid_domain
 from ..operators.ranking import keep_first
 
 
@@ -23,6 +24,17 @@ def upsert(current: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     return both.select(*key, *(value(c) for c in columns))
 
 
+def update(current: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+    """``current`` with the values of ``new`` that are not null on top; rows of ``new`` without a match are left out."""
+    return upsert(current, new.join(current.select(*key), key, "left_semi"), key)
+
+
+def delete_where(rows: DataFrame, gone: Column) -> tuple[DataFrame, int]:
+    """What is left, and how many rows went; a condition that is null keeps its row."""
+    go = F.coalesce(gone, F.lit(False))
+    return rows.where(~go), rows.where(go).count()
+
+
 def fill_only(current: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """``current`` with values of ``new`` only where it has none; no rows are added."""
     shared = [c for c in new.columns if c not in key]
@@ -54,7 +66,7 @@ def observed_domains(status: DataFrame, whois: DataFrame) -> DataFrame:
         return F.when(F.col(ms) > 0, F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ssXXX"))
 
     out = status.where("final_domain IS NOT NULL").join(whois.drop("id").withColumnRenamed("url_status_id", "id"), "id", "left").drop("id").distinct()
-    return out.select("*", F.col("initial_domain").alias("domain"), F.col("http_status").alias("status"), iso("observed_at_ms").alias("timestamp"), iso("creation_date_ms").alias("creation_date"), iso("expiration_date_ms").alias("expiration_date"))
+    return out.select("*", F.col("initial_domain").alias("domain"), F.col("http_status").alias("status"), F.col("http_status_text").alias("status_description"), F.col("response_time_seconds").alias("response_time"), iso("observed_at_ms").alias("timestamp"), iso("creation_date_ms").alias("creation_date"), iso("expiration_date_ms").alias("expiration_date"))
 
 
 def observed_technologies(status: DataFrame, technologies: DataFrame) -> DataFrame:
@@ -68,6 +80,13 @@ def conditional_counts(rows: DataFrame, key: str, columns: list[str]) -> DataFra
     return rows.agg(F.count_distinct(key).alias("total"), *(F.count_distinct(F.when(~blank(c), F.col(key))).alias(f"with_{c}") for c in columns))
 
 
+def store_counts(status: DataFrame, technologies: DataFrame) -> DataFrame:
+    """One row: distinct final domains, distinct technology names, and rows with a technology (not distinct)."""
+    named = technologies.where("technology_name IS NOT NULL AND technology_name <> ''")
+    t = named.agg(F.count_distinct("technology_name").alias("technologies"), F.count("*").alias("uses"))
+    return status.agg(F.count_distinct("final_domain").alias("domains")).crossJoin(t)  # one row each
+
+
 def filing_paths(files: DataFrame, limit: int | None = None) -> DataFrame:
     """path of .html and .xml files in order, from a ``binaryFile`` or path table."""
     out = files.where(F.col("path").rlike(r"\.(html?|xml)$")).select("path").orderBy("path")
@@ -75,10 +94,26 @@ def filing_paths(files: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def has_annual_report(forms: Column, dates: Column, start: str, end: str) -> Column:
-    """Whether any filing of two parallel arrays is a 10-K within the dates."""
-    return F.exists(F.arrays_zip(forms.alias("f"), dates.alias("d")), lambda x: (x["f"] == "10-K") & x["d"].between(start, end))
+    """Whether any filing of two parallel arrays is a 10-K within the dates; True where they could not be read."""
+    return F.coalesce(F.exists(F.arrays_zip(forms.alias("f"), dates.alias("d")), lambda x: (x["f"] == "10-K") & x["d"].between(start, end)), F.lit(True))
+
+
+#: How sure the answer of each source is.
+SOURCE_CONFIDENCE = {"yfinance": 0.9, "sec_edgar": 0.85, "sec_edgar_text": 0.75, "finviz": 0.7, "finnhub": 0.6}
+#: Domains that belong to registries and services and to no company.
+INFRASTRUCTURE = ["sec.gov", "xbrl.org", "fasb.org", "w3.org", "google.com", "yahoo.com", "finviz.com", "finnhub.io"]
+
+
+def source_answers(urls: DataFrame) -> DataFrame:
+    """cik, domain, source, confidence of every source's ``urls(cik, source, url)``: the registrable domain;
+    a miss, an invalid one and one of infrastructure is null with confidence 0."""
+    d = root_domain(F.col("url"))
+    good = F.when(valid_domain(d) & ~d.isin(*INFRASTRUCTURE), d)
+    sure = F.coalesce(F.create_map(*(F.lit(x) for kv in SOURCE_CONFIDENCE.items() for x in kv))[F.col("source")], F.lit(0.0))
+    out = urls.select("cik", good.alias("domain"), "source", sure.alias("confidence"))
+    return out.withColumn("confidence", F.when(F.col("domain").isNull(), 0.0).otherwise(F.col("confidence")))
 
 
 def domain_votes(votes: DataFrame) -> DataFrame:
-    """cik, domain, confidence: of all sources' answers the surest; a miss is no answer."""
-    return keep_first(votes.where("domain IS NOT NULL"), ["cik"], F.desc("confidence"), F.asc("source")).select("cik", "domain", "confidence")
+    """cik, domain, source, confidence: of all sources' answers the surest; a miss is no answer."""
+    return keep_first(votes.where("domain IS NOT NULL"), ["cik"], F.desc("confidence"), F.asc("source"), F.asc("domain")).select("cik", "domain", "source", "confidence")

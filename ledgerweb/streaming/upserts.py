@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.observations import latest_values, upsert
+from ..session import delete_path
+from ..versions import newest, versions
 
 
 def windowed_counts(events: DataFrame, late: str = "10 minutes", size: str = "1 hour") -> DataFrame:
@@ -21,25 +22,32 @@ def windowed_counts(events: DataFrame, late: str = "10 minutes", size: str = "1
 def keep_latest(stream: DataFrame, path: str, key: list[str], order: list[str], columns: list[str], checkpoint: str) -> StreamingQuery:
     """Fold every micro-batch into versions of a table under ``path``; ``read_latest`` reads the last.
 
-    A batch writes a version named by its number, so a repeated batch rewrites its own version
-    and is folded once.
+    The table keeps beside every value the order that it came with, so a value that comes late
+    never takes the place of a newer one.  A batch writes a version named by its number, so a
+    repeated batch rewrites its own version and is folded once; the one before it stays for
+    readers, older ones go.
     """
     spark = stream.sparkSession
+    kept = [*key, *columns, *(f"__at_{c}" for c in columns)]
 
     def fold(batch: DataFrame, number: int) -> None:
-        new = latest_values(batch, key, order, columns)
-        before = read_latest(spark, path, number - 1)
-        (new if before is None else upsert(before, new, key)).write.mode("overwrite").parquet(f"{path}/v{number}")
+        at = F.struct(*order)
+        rows = batch.select(*key, *columns, *(F.when(F.col(c).isNotNull(), at).alias(f"__at_{c}") for c in columns))
+        before = newest(spark, path, number - 1)
+        if before is not None:
+            rows = rows.unionByName(spark.read.parquet(f"{path}/v{before}").select(*kept))
+        last = [F.max_by(c, f"__at_{c}").alias(c) for c in columns] + [F.max(f"__at_{c}").alias(f"__at_{c}") for c in columns]
+        rows.groupBy(*key).agg(*last).write.mode("overwrite").parquet(f"{path}/v{number}")
+        for old in versions(spark, path)[:-2]:
+            delete_path(spark, f"{path}/v{old}")
 
     return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_latest(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame | None:
     """The table's newest version, at most number ``upto``."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
+    n = newest(spark, path, upto)
+    if n is None:
         return None
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    numbers = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit() and (upto is None or int(n[1:]) <= upto)]
-    return spark.read.parquet(f"{path}/v{max(numbers)}") if numbers else None
+    out = spark.read.parquet(f"{path}/v{n}")
+    return out.select(*(c for c in out.columns if not c.startswith("__at_")))
