@@ -19,6 +19,17 @@ def _all(text: Column, pattern: str, group: int, flags: str = "") -> Column:
     return F.regexp_extract_all(text, F.lit(f"{flags}{pattern}"), group)
 
 
+def _stretches(text: Column, number: int, pattern: str) -> Column:
+    """pattern, nth, whole, held of every context that one pattern finds."""
+    found = F.arrays_zip(_all(text, pattern, 0, "(?is)").alias("whole"), _all(text, pattern, 1, "(?is)").alias("held"))
+    return F.transform(found, lambda m, i: F.struct(F.lit(number).alias("pattern"), i.alias("nth"), m["whole"].alias("whole"), m["held"].alias("held")))
+
+
+def _named(text: Column, number: int, pattern: str) -> Column:
+    """form, at, candidate of every name that one pattern finds."""
+    return F.transform(_all(text, pattern, 1), lambda c, i: F.struct(F.lit(number).alias("form"), i.alias("at"), F.trim(c).alias("candidate")))
+
+
 def competitor_mentions(filings: DataFrame, common: list[str] = V.NAME_BLOCKLIST) -> DataFrame:
     """src, place, candidate, context of ``filings(cik, business, risk_factors)``: every name in a context
     of competition, the first of each spelling.
@@ -27,14 +38,11 @@ def competitor_mentions(filings: DataFrame, common: list[str] = V.NAME_BLOCKLIST
     first searched for lists that begin with "such as".
     """
     text = filings.select(F.col("cik").alias("src"), F.posexplode(F.array("business", "risk_factors")).alias("part", "text")).where("text <> ''")
-    stretches = F.flatten(F.array(*(
-        F.transform(F.arrays_zip(_all(F.col("text"), p, 0, "(?is)").alias("whole"), _all(F.col("text"), p, 1, "(?is)").alias("held")), lambda m, i, k=k: F.struct(F.lit(k).alias("pattern"), i.alias("nth"), m["whole"].alias("whole"), m["held"].alias("held")))
-        for k, p in enumerate(V.COMPETITOR_CONTEXTS)
-    )))
+    stretches = F.flatten(F.array(*(_stretches(F.col("text"), k, p) for k, p in enumerate(V.COMPETITOR_CONTEXTS))))
     met = text.select("src", "part", F.explode(stretches).alias("m"))
     pieces = F.concat(F.when(F.length("m.held") > BLOCK_CHARS, _all(F.col("m.held"), V.SUCH_AS, 1, "(?i)")).otherwise(F.array().cast("array<string>")), F.array("m.held"))
     met = met.select("src", "part", "m.pattern", "m.nth", F.substring("m.whole", 1, CONTEXT_CHARS).alias("context"), F.posexplode(pieces).alias("piece", "held"))
-    names = F.flatten(F.array(*(F.transform(_all(F.col("held"), p, 1), lambda c, i, k=k: F.struct(F.lit(k).alias("form"), i.alias("at"), F.trim(c).alias("candidate"))) for k, p in enumerate(V.COMPANY_NAMES))))
+    names = F.flatten(F.array(*(_named(F.col("held"), k, p) for k, p in enumerate(V.COMPANY_NAMES))))
     found = met.select("*", F.explode(names).alias("n")).select("src", F.struct("part", "pattern", "nth", "piece", "n.form", "n.at").alias("place"), "n.candidate", "context")
     low = F.lower("candidate")
     found = found.where(F.length("candidate").between(2, 50) & ~low.isin(common))

@@ -124,11 +124,11 @@ def related_companies(start: DataFrame, edges: DataFrame, most_hops: int = 2, li
 RELATED_LEAST = 0.35
 
 
-def answer_context(vectors: DataFrame, chunks: DataFrame, owner: DataFrame, query: DataFrame, edges: DataFrame, limit: int = 5, least: float = 0.5, most_hops: int = 2) -> DataFrame:
+def answer_context(vectors: DataFrame, chunks: DataFrame, owner: DataFrame, query: DataFrame, edges: DataFrame, limit: int = 5, least: float = 0.5, most_hops: int = 2, related_least: float = RELATED_LEAST) -> DataFrame:
     """chunk_id, score, origin, hops, related_to, line: the best chunks to answer from.
 
     First the 2 * limit chunks nearest to the query, then, from companies related to those that own
-    them, the 2 * limit nearest chunks with a score of at least ``RELATED_LEAST``, each with its
+    them, the 2 * limit nearest chunks with a score of at least ``related_least``, each with its
     owner's shortest relation; a chunk counts once, as found first; the best ``limit`` are told.
     """
     first = search(vectors, query, 2 * limit, least).select("vec_id", "score")
@@ -136,7 +136,7 @@ def answer_context(vectors: DataFrame, chunks: DataFrame, owner: DataFrame, quer
     related = related_companies(start, edges, most_hops)
     told = keep_first(related, ["node"], F.asc("hops"), F.asc("source"), F.asc("relation"), F.asc_nulls_first("via")).select(F.col("node").alias("cik"), "hops", F.col("source").alias("related_to"))
     theirs = owner.join(told.select("cik"), "cik", "left_semi").select("vec_id").distinct()
-    more = search(vectors.join(theirs, "vec_id", "left_semi"), query, 2 * limit, RELATED_LEAST).select("vec_id", "score")
+    more = search(vectors.join(theirs, "vec_id", "left_semi"), query, 2 * limit, related_least).select("vec_id", "score")
     every = first.select("vec_id", "score", F.lit("vector_search").alias("origin")).unionByName(more.join(first, "vec_id", "left_anti").select("vec_id", "score", F.lit("graph_traversal").alias("origin")))
     best = top_k(every, limit, F.desc("score"), F.asc("vec_id")).join(owner, "vec_id", "left")
     shown = F.col("origin") == "graph_traversal"

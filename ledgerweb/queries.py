@@ -167,11 +167,6 @@ def label_embeddings(g: BusinessGraph) -> DataFrame:
     return _rounded(retrieval.aggregated_embeddings(g.table("embeddings"), "label", "vec_id"), "average", "weighted", "maximum")
 
 
-def token_batches(g: BusinessGraph) -> DataFrame:
-    docs = g.table("documents").select("source", "doc_id", text.token_estimate(F.col("text")).alias("tokens"))
-    return retrieval.token_batches(docs, "source", "doc_id", "tokens")
-
-
 def worklist(g: BusinessGraph) -> DataFrame:
     done = g.table("documents").where("source = 'src1'").select(text.text_hash(F.col("text")).alias("digest"))
     return relations.embedding_worklist(g.table("documents"), done, "doc_id", "text", direct=300).select("doc_id", "digest", "whole")
@@ -218,7 +213,6 @@ OPERATORS = {
     "rag04_search": vector_search,
     "emb02_aggregated": label_embeddings,
     "emb06_token_counts": lambda g: g.table("documents").groupBy("source").agg(F.sum(text.token_estimate(F.col("text"))).alias("tokens")),
-    "emb07_token_batches": token_batches,
     "emb08_text_hash": lambda g: g.table("documents").select("doc_id", text.text_hash(F.col("text")).alias("digest")),
     "emb05_worklist": worklist,
     "txt01_parsed_pages": lambda g: relations.parsed_filings(g.table("pages"), "page_id"),
