@@ -48,7 +48,7 @@ def adoption(uses: DataFrame, targets: DataFrame | None = None, top_k: int = 50,
         # one ranking for all targets: the first top_k that do not own a target are among its first top_k + owners
         places = numbered(scored.drop("source"), "place", F.desc("score"), F.asc("domain"))
         owners = owned.join(rare.withColumnRenamed("technology", "source"), "source", "left_semi").groupBy("source").agg(F.count("*").alias("owners"))
-        asked = owners.select("source", F.explode(F.sequence(F.lit(1), (F.col("owners") + top_k).cast("int"))).cast("long").alias("place"))
+        asked = owners.select("source", F.explode(F.sequence(F.lit(1).cast("long"), F.col("owners") + top_k)).alias("place"))
         scored = asked.join(places.withColumn("place", F.col("place").cast("long")), "place").select("source", "domain", "score")
     open_ = scored.join(owned, ["domain", "source"], "left_anti")
     return top_k_per_group(open_, ["source"], top_k, F.desc("score"), F.asc("domain")).select("domain", F.col("source").alias("technology"), "score")

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import resolution as R
 from ..functions import text as T
+from ..functions.sections import parse_pages
 from ..sources.filings import filing_metadata
 
 KEYWORDS = {
@@ -30,16 +28,9 @@ def parsed_filings(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
 
     Each page is parsed once; a field that is not found is null.
     """
-    kind = pages.schema[key].dataType.simpleString()
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [T.visible_text(x) for x in b.column(1).to_pylist()]
-            found = ([T.section_of(t, "business") for t in texts], [T.section_of(t, "risk_factors") for t in texts], [T.best_website(t) for t in texts])
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(f, pa.string()) for f in found), *b.columns[2:]], [key, "business", "risk_factors", "website", "accession", "filed", "fiscal_year_end"])
-
     meta = filing_metadata(pages.select(key, html), html)
-    return meta.mapInArrow(parse, f"`{key}` {kind}, business string, risk_factors string, website string, accession string, filed date, fiscal_year_end date")
+    kept = ["accession", "filed", "fiscal_year_end"]
+    return parse_pages(meta, key, html, keep=kept).select(key, "business", "risk_factors", "website", *kept)
 
 
 def extracted_relations(filings: DataFrame, companies: DataFrame) -> DataFrame:

@@ -66,7 +66,8 @@ def observed_domains(status: DataFrame, whois: DataFrame) -> DataFrame:
         return F.when(F.col(ms) > 0, F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ssXXX"))
 
     out = status.where("final_domain IS NOT NULL").join(whois.drop("id").withColumnRenamed("url_status_id", "id"), "id", "left").drop("id").distinct()
-    return out.select("*", F.col("initial_domain").alias("domain"), F.col("http_status").alias("status"), F.col("http_status_text").alias("status_description"), F.col("response_time_seconds").alias("response_time"), iso("observed_at_ms").alias("timestamp"), iso("creation_date_ms").alias("creation_date"), iso("expiration_date_ms").alias("expiration_date"))
+    copies = {"initial_domain": "domain", "http_status": "status", "http_status_text": "status_description", "response_time_seconds": "response_time"}
+    return out.select("*", *(F.col(c).alias(n) for c, n in copies.items() if c in out.columns), iso("observed_at_ms").alias("timestamp"), iso("creation_date_ms").alias("creation_date"), iso("expiration_date_ms").alias("expiration_date"))
 
 
 def observed_technologies(status: DataFrame, technologies: DataFrame) -> DataFrame:

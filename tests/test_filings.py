@@ -52,7 +52,7 @@ def test_directory_and_votes(spark):
     rows = spark.createDataFrame([(7, "ab", " A ", 2), (7, "xy", "B", 1)], "cik long, ticker string, name string, n int")
     assert [tuple(r) for r in observations.company_directory(rows, "n").collect()] == [("0000000007", "XY", "B")]
     votes = spark.createDataFrame([(1, "a.com", 0.7, "s"), (1, "b.com", 0.9, "t"), (2, None, 0.0, "s")], "cik int, domain string, confidence double, source string")
-    assert [tuple(r) for r in observations.domain_votes(votes).collect()] == [(1, "b.com", 0.9)]
+    assert [tuple(r) for r in observations.domain_votes(votes).collect()] == [(1, "b.com", "t", 0.9)]
     forms = spark.createDataFrame([(["10-K", "8-K"], ["2020-01-01", "2021-01-01"])], "f array<string>, d array<string>")
     assert forms.select(observations.has_annual_report(F.col("f"), F.col("d"), "2019-01-01", "2020-06-01")).first()[0]
     assert not forms.select(observations.has_annual_report(F.col("f"), F.col("d"), "2020-06-01", "2022-01-01")).first()[0]

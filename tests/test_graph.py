@@ -168,7 +168,7 @@ def test_adoption_of_every_technology_that_at_most_half_use(spark, sf):
             rank = restart + 0.85 * rank @ share
         score = (holds * rank).max(axis=1) * (1 + np.log(holds.sum(axis=1) + 1))
         want[names[j]] = sorted(np.round(score[holds[:, j] == 0], 6), reverse=True)[:50]
-    got = queries.queries()["gra06_all_adoption"](spark, sf).toPandas()
+    got = queries.queries()["gra06_adoption"](spark, sf).toPandas()
     assert set(got.technology) == set(want) and len({t.split("/")[0] for t in want}) > 1
     for t, rows in got.groupby("technology"):
         assert sorted(rows.score, reverse=True) == pytest.approx(want[t], abs=2e-6)

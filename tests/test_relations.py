@@ -27,13 +27,6 @@ def test_parsed_filings(spark):
     assert (r[1].business, r[1].risk_factors, r[1].website) == (None, None, None)
 
 
-def test_partial_matches(spark):
-    companies = spark.createDataFrame([(1, "Foo Bar Inc"), (2, "Foobar"), (3, "Foo Barn")], "cik int, name string")
-    names = spark.createDataFrame([("foo bar",), ("foo",), ("zip",)], "name string")
-    got = {r.name: (r.cik, r.confidence) for r in relations.partial_matches(names, companies).collect()}
-    assert got == {"foo bar": (1, 0.95), "foo": (1, 0.95)}
-
-
 def test_small_columns(spark):
     df = spark.createDataFrame([("Acme", "a" * 200 + ". " + "b" * 200, "ACM"), ("Acme", "short", None)], "m string, c string, h string")
     got = [r.t for r in df.select(relations.mention_text(F.col("m"), F.col("c"), F.col("h")).alias("t")).collect()]
