@@ -140,10 +140,11 @@ def candidates(df: DataFrame, text: str = "text", quoted: bool = False) -> DataF
 
     each = [tagged(rank, name, p) for rank, (name, p) in enumerate(found)]
     keep = F.filter(F.flatten(F.array(*each)), lambda c: (F.length(c["candidate"]) >= 2) & ((c["pattern"] != "quoted") | c["candidate"].rlike("[A-Z]")))
-    # keep the first spelling: positions of earlier equal ones are looked up in the array itself
-    low = F.transform(keep, lambda c: F.lower(c["candidate"]))
-    first = F.filter(F.transform(keep, lambda c, i: F.struct((F.array_position(low, F.lower(c["candidate"])) == i + 1).alias("first"), c.alias("c"))), lambda c: c["first"])
-    return df.select("*", F.explode(first).alias("__c")).select(*(F.col(f"`{c}`") for c in df.columns), "__c.c.rank", "__c.c.place", "__c.c.candidate", "__c.c.pattern")
+    # of one spelling the first: sorted by spelling, those that differ from the one before
+    spelt = F.array_sort(F.transform(keep, lambda c: F.struct(F.lower(c["candidate"]).alias("low"), c.alias("c"))))
+    out = df.select("*", spelt.alias("__s"))
+    first = F.filter("__s", lambda x, i: (i == 0) | (x["low"] != F.get("__s", i - 1)["low"]))
+    return out.select("*", F.explode(first).alias("__c")).select(*(F.col(f"`{c}`") for c in df.columns), "__c.c.rank", "__c.c.place", "__c.c.candidate", "__c.c.pattern")
 
 
 def lookup_name(name: Column) -> Column:

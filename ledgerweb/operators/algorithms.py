@@ -59,11 +59,12 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int = 20, damping:
 def betweenness(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """node, betweenness: exact, directed, unweighted.
 
-    Sources are dealt over the tasks; each holds the adjacency, whose size is checked.
+    Sources are dealt over the tasks, and each task holds the adjacency as long as that has at most
+    ``MOST_ADJACENCY`` edges; larger graphs are searched by joins, level by level.
     """
     e = edges.select("src", "dst").distinct()
-    if (n := e.count()) > MOST_ADJACENCY:
-        raise ValueError(f"{n} edges do not fit a worker")
+    if e.count() > MOST_ADJACENCY:
+        return _betweenness_by_joins(nodes, e)
     following: dict[int, list[int]] = {}
     for s, d in e.collect():
         following.setdefault(s, []).append(d)
@@ -94,6 +95,45 @@ def betweenness(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.select("node").join(parts.groupBy("node").agg(F.sum("part").alias("betweenness")), "node", "left").fillna(0.0, ["betweenness"])
 
 
+#: Sources whose searches are kept at once where joins do the searching.
+SOURCES_AT_ONCE = 256
+
+
+def _betweenness_by_joins(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The same by two joins a level: shortest paths are counted outwards, what hangs on a node is added up backwards.
+
+    Batches of sources bound what is kept to a row for each source of a batch and node.
+    """
+    e = cut(edges.where("src <> dst"), "adjacency")
+    known = nodes.select("node").distinct()
+    batches = max(1, -(-known.count() // SOURCES_AT_ONCE))
+    out = None
+    for batch in range(batches):
+        start = known.where(F.pmod(F.xxhash64("node"), F.lit(batches)) == batch)
+        levels = [cut(start.select(F.col("node").alias("s"), F.col("node").alias("v"), F.lit(1.0).alias("paths")), "level")]
+        seen = levels[0].select("s", "v")
+        while True:
+            step = levels[-1].join(e, F.col("v") == F.col("src")).groupBy("s", F.col("dst").alias("v")).agg(F.sum("paths").alias("paths"))
+            level = cut(step.join(seen, ["s", "v"], "left_anti"), "level")
+            if level.isEmpty():
+                break
+            levels.append(level)
+            seen = seen.unionByName(level.select("s", "v"))
+        owed, parts = None, []
+        for nearer, level in zip(levels[-2::-1], levels[:0:-1]):
+            w = level.withColumn("owed", F.lit(0.0)) if owed is None else level.join(owed, ["s", "v"], "left").fillna(0.0, ["owed"])
+            parts.append(w.select(F.col("v").alias("node"), F.col("owed").alias("part")))
+            back = w.select("s", F.col("v").alias("dst"), ((1 + F.col("owed")) / F.col("paths")).alias("share")).join(e, "dst").select("s", F.col("src").alias("v"), "share")
+            owed = cut(back.join(nearer, ["s", "v"]).groupBy("s", "v").agg(F.sum(F.col("share") * F.col("paths")).alias("owed")), "owed")
+        for part in parts:
+            out = part if out is None else out.unionByName(part)
+        if out is not None:
+            out = cut(out.groupBy("node").agg(F.sum("part").alias("part")), "parts")
+    if out is None:
+        return known.withColumn("betweenness", F.lit(0.0))
+    return nodes.select("node").join(out.withColumnRenamed("part", "betweenness"), "node", "left").fillna(0.0, ["betweenness"])
+
+
 def communities(nodes: DataFrame, edges: DataFrame, levels: int = 10, rounds: int = 10) -> DataFrame:
     """node, community by local moves that raise modularity, on the graph and then on its communities.
 

@@ -252,6 +252,36 @@ SELECT x.src, y.src AS dst, round(max(score), 6) AS score, count(*) AS domain_pa
 }
 
 
+def _candidates(quoted: bool) -> str:
+    """Letters beyond ASCII are letters to a word's edge, but in no name."""
+    found = [("capitalized", r"\b([A-Z][a-zA-Z&.\-]*(?:\s+[A-Z][a-zA-Z&.\-]*){0,3})\b"), ("ticker", r"\b([A-Z]{2,5})\b")] + [("quoted", '"([^"]{2,50})"')] * quoted
+    each = " UNION ALL ".join(
+        f"SELECT doc_id, {rank} AS rank, '{name}' AS pattern, generate_subscripts(c, 1) - 1 AS place, unnest(c) AS candidate FROM (SELECT doc_id, regexp_extract_all({'text' if name == 'quoted' else 'plain'}, '{pattern}', 1) AS c FROM told)"
+        for rank, (name, pattern) in enumerate(found)
+    )
+    return f""", told AS (SELECT doc_id, '"The Firm" and ' || text AS text, regexp_replace('"The Firm" and ' || text, '[À-ÖØ-öø-ÿ]', '_', 'g') AS plain FROM documents), hits AS ({each})
+SELECT doc_id, rank::BIGINT AS rank, place::BIGINT AS place, candidate, pattern FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, lower(candidate) ORDER BY rank, place) AS r FROM hits WHERE length(candidate) >= 2 AND (pattern <> 'quoted' OR regexp_matches(candidate, '[A-Z]'))
+) WHERE r = 1"""
+
+
+OPERATORS |= {
+    "ent03_candidates": _candidates(False),
+    "ent05_quoted_candidates": _candidates(True),
+    "txt10_industry_codes": """, c AS (SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN (c_custkey % 20)::VARCHAR WHEN 1 THEN (c_custkey * 7)::VARCHAR ELSE '' END AS d FROM customer)
+SELECT id, CASE WHEN length(d) >= 2 THEN lpad(left(d, 4), 4, '0') END AS sic, CASE WHEN length(d) >= 2 THEN lpad(left(d, 6), 6, '0') END AS naics FROM c""",
+    "gra04_betweenness": """, e AS (SELECT DISTINCT src, dst FROM has_competitor WHERE src <> dst), reach(s, v, d) AS (
+    SELECT cik, cik, 0 FROM company UNION SELECT s, dst, d + 1 FROM reach JOIN e ON src = v WHERE d < 30
+), far AS (SELECT s, v, min(d) AS d FROM reach GROUP BY 1, 2), counted(s, v, d, n) AS (
+    SELECT cik, cik, 0, 1::DOUBLE FROM company
+    UNION ALL SELECT c.s, e.dst, c.d + 1, sum(c.n) FROM counted c JOIN e ON e.src = c.v JOIN far f ON f.s = c.s AND f.v = e.dst AND f.d = c.d + 1 GROUP BY c.s, e.dst, c.d
+), told AS (
+    SELECT x.v AS node, sum(x.n * y.n / z.n) AS b FROM counted x JOIN counted y ON y.s = x.v JOIN counted z ON z.s = x.s AND z.v = y.v AND z.d = x.d + y.d WHERE x.s <> x.v AND y.v <> x.v AND y.v <> x.s GROUP BY 1
+)
+SELECT cik AS node, round(coalesce(b, 0), 6) AS betweenness FROM company LEFT JOIN told ON node = cik""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     from . import oracles_entities, oracles_ingest
 

@@ -170,8 +170,12 @@ SELECT doc_id, md5(left({_STRIP.format("CASE WHEN regexp_matches(head, '[.!?]\\s
     "ent29_resolved_mentions": _RESOLVED,
     "ent30_mention_texts": _CLAIMS + """, c AS (SELECT *, left(sentence, 60) AS cut, CASE WHEN contains(left(sentence, 60), '.') THEN 61 - strpos(reverse(left(sentence, 60)), '.') - (60 - length(left(sentence, 60))) ELSE 0 END AS stop FROM claims)
 SELECT rel_type, src, dst, mention || CASE WHEN src % 2 = 0 THEN ' (' || rel_type || ')' ELSE '' END || ' : ' || CASE WHEN length(sentence) > 60 AND stop > 30 THEN left(cut, stop) ELSE cut END AS shown FROM c""",
-    "ent31_semantic_scores": """, m AS (SELECT vec_id AS mention, vec_id % 130 AS cik, CASE WHEN vec_id % 17 <> 0 THEN embedding::DOUBLE[] END AS e FROM embeddings), k AS (SELECT vec_id AS cik, CASE WHEN vec_id % 13 <> 0 THEN embedding::DOUBLE[] END AS f FROM embeddings WHERE vec_id < 120),
-r AS (SELECT mention, m.cik, CASE WHEN e IS NULL OR f IS NULL THEN 0.0 ELSE round(list_cosine_similarity(coalesce(e, f, [1.0::DOUBLE]), coalesce(f, e, [1.0::DOUBLE])), 6) END::DOUBLE AS score, CASE WHEN f IS NULL THEN 'no_candidate_embedding' WHEN e IS NULL THEN 'embedding_error' ELSE 'cosine_embedding' END AS method FROM m LEFT JOIN k USING (cik))
+    "ent31_semantic_scores": """, scored AS MATERIALIZED (
+    SELECT m.vec_id AS mention, round(list_cosine_similarity(m.embedding::DOUBLE[], k.embedding::DOUBLE[]), 6) AS score FROM embeddings m JOIN embeddings k ON k.vec_id = m.vec_id % 130 WHERE k.vec_id < 120 AND m.vec_id % 17 <> 0 AND k.vec_id % 13 <> 0
+), r AS (
+    SELECT vec_id AS mention, vec_id % 130 AS cik, coalesce(score, 0)::DOUBLE AS score, CASE WHEN vec_id % 130 >= 120 OR vec_id % 130 % 13 = 0 THEN 'no_candidate_embedding' WHEN vec_id % 17 = 0 THEN 'embedding_error' ELSE 'cosine_embedding' END AS method
+    FROM embeddings LEFT JOIN scored ON mention = vec_id
+)
 SELECT *, CASE WHEN score >= 0.75 THEN 'strong' WHEN score >= 0.6 THEN 'moderate' WHEN score >= 0.45 THEN 'weak' ELSE 'poor' END || '_semantic_match' AS label FROM r""",
     "ent32_combined": """, x AS (SELECT rel_type, src, dst, 0.4 * (src % 11) / 10 + 0.6 * embedding_similarity AS base, CASE WHEN dst % 7 = 0 THEN 0.3 ELSE 0 END + CASE WHEN dst % 5 = 0 THEN 0.2 ELSE 0 END AS bonus FROM all_edges), y AS (SELECT *, least(1.0, base + bonus * (1 - base)) AS score FROM x)
 SELECT rel_type, src, dst, round(score, 9)::DOUBLE AS score, CASE WHEN score >= 0.75 OR dst % 7 = 0 THEN 'high' WHEN score >= 0.5 THEN 'medium' ELSE 'low' END AS tier FROM y""",

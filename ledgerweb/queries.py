@@ -177,6 +177,17 @@ def page_domains(g: BusinessGraph) -> DataFrame:
     return g.table("pages").select("page_id", text.host(url).alias("host"), text.root_domain(url).alias("domain"))
 
 
+def _found(g: BusinessGraph, quoted: bool) -> DataFrame:
+    docs = g.table("documents").select("doc_id", F.concat(F.lit('"The Firm" and '), "text").alias("text"))
+    return text.candidates(docs, quoted=quoted).select("doc_id", F.col("rank").cast("long").alias("rank"), F.col("place").cast("long").alias("place"), "candidate", "pattern")
+
+
+def industry_codes(g: BusinessGraph) -> DataFrame:
+    k = F.col("c_custkey")
+    code = F.when(k % 3 == 0, F.concat(F.lit("SIC "), k % 20)).when(k % 3 == 1, (k * 7).cast("string")).otherwise("n/a")
+    return g.table("customer").select(k.alias("id"), text.industry_code(code, 4).alias("sic"), text.industry_code(code, 6).alias("naics"))
+
+
 OPERATORS = {
     "gra01_pagerank": lambda g: _rounded(algorithms.pagerank(_nodes(g), g.edges("HAS_COMPETITOR")), "rank"),
     "gra02_communities": lambda g: algorithms.communities(_nodes(g), g.edges("HAS_COMPETITOR")),
@@ -206,7 +217,9 @@ OPERATORS = {
     "src12_directory": directory,
     "src18_filers": filers,
     "ent01_sentences": keyword_sentences,
-    "ent03_candidates": lambda g: text.candidates(g.table("benchmark")),
+    "ent03_candidates": lambda g: _found(g, False),
+    "ent05_quoted_candidates": lambda g: _found(g, True),
+    "txt10_industry_codes": industry_codes,
     "ent37_tiers": tiers,
     "rag01_chunks": chunk_digests,
     "rag03_page_text": lambda g: text.html_text(g.table("pages"), "page_id"),

@@ -55,6 +55,13 @@ def test_betweenness(edges, nodes):
     assert got == {1: 0.0, 2: 0.0, 3: 2.0, 4: 0.0, 5: 0.0, 6: 0.0, 7: 0.0}
 
 
+def test_betweenness_by_joins(spark, nodes, edges, monkeypatch):
+    want = {r.node: round(r.betweenness, 9) for r in algorithms.betweenness(nodes, edges).collect()}
+    monkeypatch.setattr(algorithms, "MOST_ADJACENCY", 0)
+    monkeypatch.setattr(algorithms, "SOURCES_AT_ONCE", 3)
+    assert {r.node: round(r.betweenness, 9) for r in algorithms.betweenness(nodes, edges).collect()} == want and any(want.values())
+
+
 def test_communities(spark):
     two = [(a, b) for g in (range(0, 5), range(5, 10)) for a in g for b in g if a < b] + [(4, 5)]
     e = spark.createDataFrame(two, "src long, dst long")
