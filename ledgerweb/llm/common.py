@@ -9,12 +9,14 @@ from ..session import cut, delete_path, fresh_path, release, scratch, shared_dir
 
 __all__ = ["crc_of_id", "cut", "delete_path", "fresh_path", "partitions", "release", "scratch", "shared_dir", "small_batches"]
 
-#: Rows that go to a Python worker at once; whole texts can be long.
-BATCH_ROWS = 1000
+#: Rows and bytes that go to a Python worker at once; whole texts can be long.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 * 1024 * 1024
 
 
 def small_batches(spark: SparkSession) -> None:
+    """Bound what is sent at once, for all that this session still runs: results are lazy, so it can't be undone here."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def crc_of_id(column: str = "doc_id") -> Column:

@@ -4,10 +4,14 @@ The tokenizer drops white space before anything else looks at a text, so a text'
 ids of its words in order.  Each worker keeps the ids of words it has met; a plain word (Latin
 letters, perhaps between punctuation marks) goes straight to the BPE model, all others through
 the whole tokenizer.  The memo is emptied when full: it saves time and never changes an id.
+
+That holds for files whose normalizer, pre-tokenizer and model settings are those of ``MEMO_FITS``;
+with any other file every text goes through the tokenizer whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import string
 import unicodedata
@@ -18,6 +22,18 @@ import numpy as np
 MEMO_WORDS = 900_000
 #: Words with more bytes than this are encoded each time.
 MEMO_BYTES = 48
+#: How the tokenizer has to take a text apart for words to have ids of their own (fixed values of its file).
+MEMO_FITS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False},
+}
 #: Id that ends each document.
 END_ID = 1
 
@@ -42,6 +58,9 @@ class WordEncoder(dict):
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces: dict[str, bytes] = {}
+        told = json.loads(self.tokenizer.to_str())
+        told["model"] = {k: v for k, v in told["model"].items() if k not in ("vocab", "merges")}
+        self.by_words = all(told[k] == v for k, v in MEMO_FITS.items())
         # the byte-level alphabet: printable bytes stand for themselves, the others follow from 256
         plain = [b for b in range(256) if 33 <= b <= 126 or b >= 161 and b != 173]
         others = [b for b in range(256) if b not in plain]
@@ -83,6 +102,8 @@ class WordEncoder(dict):
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text (null: none), without the end id.  Only ASCII white space parts words here."""
+        if not self.by_words:
+            return np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, _ID).tobytes()
         return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split())) if text else b""
 
 

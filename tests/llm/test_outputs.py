@@ -30,6 +30,17 @@ def test_word_memo_gives_the_tokenizers_ids():
         assert np.frombuffer(e.encode(t), "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_other_tokenizers_take_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    t = Tokenizer(models.BPE({"a": 0, "b": 1, "Ġ": 2, "A": 3}, []))
+    t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    t.save(str(tmp_path / "t.json"))
+    e = WordEncoder(str(tmp_path / "t.json"))
+    assert not e.by_words and np.frombuffer(e.encode("a bA"), "<u4").tolist() == t.encode("a bA").ids == [0, 2, 1, 3]
+    assert WordEncoder().by_words
+
+
 def ids_of(t):
     return np.array([*encoder().tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
 
