@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -18,7 +19,11 @@ TICKER = r"\b([A-Z]{2,5})\b"
 QUOTED = r'"([^"]{2,50})"'
 #: Public suffixes of two labels; all others count as one label.
 DOUBLE_SUFFIXES = ["co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "co.kr", "co.in", "com.br", "com.cn", "com.mx", "co.za", "com.sg", "com.hk", "co.nz", "com.tr", "com.tw", "co.il"]
-_ACCENTS = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿšžāēīōū", "aaaaaaceeeeiiiinooooouuuuyyszaeiou"
+#: Every Latin letter that is one letter and marks (compatibility forms too), and that letter.
+_ACCENTS = tuple(map("".join, zip(*(
+    (c, base) for c in map(chr, [*range(0xAA, 0x250), *range(0x1E00, 0x1F00), *range(0xFF21, 0xFF5B)])
+    if len(base := "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))) == 1 and base != c and base.isascii() and base.isalnum()
+))))
 
 
 def strip(text: Column) -> Column:

@@ -87,3 +87,17 @@ def filing_metadata(pages: DataFrame, html: str = "html") -> DataFrame:
     end = day(text, rf"(?i)fiscal\s+year\s+ended\s+({month}\s+\d{{1,2}},\s+\d{{4}})", "MMMM d, yyyy")
     sane = lambda d: F.when(F.year(d).between(1990, 2100), d)
     return pages.select("*", F.nullif(F.regexp_extract(text, r"(\d{10}-\d{2}-\d{6})", 1), F.lit("")).alias("accession"), sane(filed).alias("filed"), sane(end).alias("fiscal_year_end"))
+
+
+def with_landed_metadata(pages: DataFrame, landed: DataFrame, key: str, body: str = "body") -> DataFrame:
+    """``pages`` as ``filing_metadata`` gives them, with what ``landed(key, body)``, the filings' JSON files, says first.
+
+    A body that is no JSON, or a date that is none, leaves the page's own values.
+    """
+    fields = "accessionNumber string, accession_number string, filingDate string, filing_date string, fiscalYearEnd string, fiscal_year_end string"
+    told = landed.select(key, F.from_json(body, fields).alias("m")).select(
+        key, F.coalesce("m.accessionNumber", "m.accession_number").alias("__accession"),
+        *(F.try_to_timestamp(F.substring(F.coalesce(f"m.{a}", f"m.{b}"), 1, 10), F.lit("yyyy-MM-dd")).cast("date").alias(f"__{b}") for a, b in (("filingDate", "filing_date"), ("fiscalYearEnd", "fiscal_year_end"))),
+    )
+    first = {"accession": F.coalesce("__accession", "accession"), "filed": F.coalesce("__filing_date", "filed"), "fiscal_year_end": F.coalesce("__fiscal_year_end", "fiscal_year_end")}
+    return pages.join(told, key, "left").select(*(first[c].alias(c) if c in first else F.col(c) for c in pages.columns))

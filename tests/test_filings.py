@@ -56,3 +56,10 @@ def test_directory_and_votes(spark):
     forms = spark.createDataFrame([(["10-K", "8-K"], ["2020-01-01", "2021-01-01"])], "f array<string>, d array<string>")
     assert forms.select(observations.has_annual_report(F.col("f"), F.col("d"), "2019-01-01", "2020-06-01")).first()[0]
     assert not forms.select(observations.has_annual_report(F.col("f"), F.col("d"), "2020-06-01", "2022-01-01")).first()[0]
+
+
+def test_landed_metadata_comes_first(spark):
+    pages = spark.createDataFrame([(1, "<!-- filed 2022-10-28 --> 0000320193-22-000108"), (2, "<!-- filed 2021-01-02 -->"), (3, "x")], "id int, html string")
+    landed = spark.createDataFrame([(1, '{"accessionNumber":"0000000001-23-000001","filingDate":"2023-02-03"}'), (2, "oops"), (3, '{"filing_date":"soon","fiscal_year_end":"2020-12-31T00:00"}')], "id int, body string")
+    got = {r.id: (r.accession, str(r.filed), str(r.fiscal_year_end)) for r in filings.with_landed_metadata(filings.filing_metadata(pages), landed, "id").collect()}
+    assert got == {1: ("0000000001-23-000001", "2023-02-03", "None"), 2: (None, "2021-01-02", "None"), 3: (None, "None", "2020-12-31")}
