@@ -2,6 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a
 DataFrame; all but the last return the columns of documents.
+
+Defined results
+* extra columns stay with their rows through all stages but the last, whatever they are called
+* null, empty and letterless texts are in no language: the first stage drops them
+* repeated rows and equal texts are near copies; of a class the rows of the smallest doc_id stay,
+  and so do all rows without an id
+* a very long text is handled whole by every stage; packing cuts it into pieces
+* ties: the language that sorts first, the smallest doc_id, the first domain by name
+* an empty table goes through every stage and packs to no rows
 """
 
 from __future__ import annotations
@@ -9,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerweb.llm import langid, minhash, mixing, packing, substring
-from ledgerweb.llm.common import cut
+from ledgerweb.llm.common import cut, release, scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +55,16 @@ STAGES = [
     ("packing", best_fit_packing),
 ]
 
-#: Banded alignment, naive Bayes and tokenization have no SQL; the tests hold the stages against brute force.
+#: Banded alignment, naive Bayes and tokenization have no SQL; tests/llm/test_edges.py holds every stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        with scratch() as kept:  # what a stage wrote on its way goes when its result is there
+            done = cut(stage(spark, docs, sf_dir), name)
+            kept.append(done)
+        release(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
