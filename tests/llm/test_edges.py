@@ -249,3 +249,5 @@ def test_pipeline_by_brute_force(spark, sf):
     packed = stages["packing"](spark, d, sf).collect()
     assert Counter(r.ids_crc32 for r in packed) == Counter(zlib.crc32(ids[p : p + 4096].tobytes()) for r in rows for ids in [ids_of(r.text)] for p in range(0, len(ids), 4096))
     assert len({r.sequence_id for r in packed}) >= sum(r.length for r in packed) / 4096
+    again = corpus_pipeline.run(spark, sf).collect()
+    assert Counter((r.doc_id, r.piece, r.ids_crc32) for r in again) == Counter((r.doc_id, r.piece, r.ids_crc32) for r in packed)
