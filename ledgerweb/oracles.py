@@ -185,6 +185,13 @@ _EXTENDED = """, industry_edges AS (
 ), extended AS (SELECT CASE WHEN src = 7 THEN dst ELSE src END AS dst, rel_type, score::DOUBLE AS score, method FROM every WHERE src = 7 OR dst = 7)
 """
 
+_PAGERANK = _SHARES + """, pr(it, node, rank) AS (
+    SELECT 0, cik, 0.15::DOUBLE FROM company
+    UNION ALL
+    SELECT it + 1, dst, 0.15 + 0.85 * sum(rank * share) FROM pr JOIN e ON src = node WHERE it < 20 GROUP BY it, dst
+)
+"""
+
 OPERATORS = {
     "sim18_extended_similar": _EXTENDED + """, y AS (
     SELECT dst, count(*) AS edge_count, sum(score * CASE rel_type WHEN 'HAS_COMPETITOR' THEN 4.0 WHEN 'SIMILAR_DESCRIPTION' THEN 0.8 WHEN 'SIMILAR_RISK' THEN 0.8 WHEN 'SIMILAR_TECHNOLOGY' THEN 0.3 WHEN 'SIMILAR_SIZE' THEN 0.2 WHEN 'SIMILAR_KEYWORD' THEN 0.1
@@ -200,12 +207,7 @@ ORDER BY weighted_score DESC, competitor_matches DESC, (industry = (SELECT indus
     "sim20_similarity_breakdown": _EXTENDED + """, t AS (SELECT technology FROM company_uses WHERE cik = 7 INTERSECT SELECT technology FROM company_uses WHERE cik = 9)
 SELECT rel_type, score, method, (SELECT count(*) FROM t) AS shared_tech_count, coalesce((SELECT array_to_string(list_sort(list(technology)), ',') FROM t), '') AS shared_technologies
 FROM extended WHERE dst = 9 AND rel_type LIKE 'SIMILAR%'""",
-    "gra01_pagerank": _SHARES + """, pr(it, node, rank) AS (
-    SELECT 0, cik, 0.15::DOUBLE FROM company
-    UNION ALL
-    SELECT it + 1, dst, 0.15 + 0.85 * sum(rank * share) FROM pr JOIN e ON src = node WHERE it < 20 GROUP BY it, dst
-)
-SELECT node, round(rank, 6) AS rank FROM pr WHERE it = 20""",
+    "gra01_pagerank": _PAGERANK + "SELECT node, round(rank, 6) AS rank FROM pr WHERE it = 20",
     "gra03_degrees": f"SELECT cik AS node, i.n AS in_degree, o.n AS out_degree FROM company LEFT JOIN {_IN} i USING (cik) LEFT JOIN {_OUT} o USING (cik)",
     "gra06_adoption": _adoption("true", 50) + "SELECT domain, source AS technology, score FROM ranked WHERE r <= 50",
     "joi16_typed_paths": """, f AS (SELECT src, dst, 'HAS_COMPETITOR' AS t FROM has_competitor UNION ALL SELECT src, dst, 'HAS_SUPPLIER' FROM has_supplier),
@@ -265,20 +267,29 @@ SELECT doc_id, rank::BIGINT AS rank, place::BIGINT AS place, candidate, pattern
 ) WHERE r = 1"""
 
 
-OPERATORS |= {
-    "ent03_candidates": _candidates(False),
-    "ent05_quoted_candidates": _candidates(True),
-    "txt10_industry_codes": """, c AS (SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN (c_custkey % 20)::VARCHAR WHEN 1 THEN (c_custkey * 7)::VARCHAR ELSE '' END AS d FROM customer)
-SELECT id, CASE WHEN length(d) >= 2 THEN lpad(left(d, 4), 4, '0') END AS sic, CASE WHEN length(d) >= 2 THEN lpad(left(d, 6), 6, '0') END AS naics FROM c""",
-    "gra04_betweenness": """, e AS (SELECT DISTINCT src, dst FROM has_competitor WHERE src <> dst), reach(s, v, d) AS (
-    SELECT cik, cik, 0 FROM company UNION SELECT s, dst, d + 1 FROM reach JOIN e ON src = v WHERE d < 30
+_BETWEEN = """, ways AS (SELECT DISTINCT src, dst FROM has_competitor WHERE src <> dst), reach(s, v, d) AS (
+    SELECT cik, cik, 0 FROM company UNION SELECT s, dst, d + 1 FROM reach JOIN ways ON src = v WHERE d < 30
 ), far AS (SELECT s, v, min(d) AS d FROM reach GROUP BY 1, 2), counted(s, v, d, n) AS (
     SELECT cik, cik, 0, 1::DOUBLE FROM company
-    UNION ALL SELECT c.s, e.dst, c.d + 1, sum(c.n) FROM counted c JOIN e ON e.src = c.v JOIN far f ON f.s = c.s AND f.v = e.dst AND f.d = c.d + 1 GROUP BY c.s, e.dst, c.d
+    UNION ALL SELECT c.s, w.dst, c.d + 1, sum(c.n) FROM counted c JOIN ways w ON w.src = c.v JOIN far f ON f.s = c.s AND f.v = w.dst AND f.d = c.d + 1 GROUP BY c.s, w.dst, c.d
 ), told AS (
     SELECT x.v AS node, sum(x.n * y.n / z.n) AS b FROM counted x JOIN counted y ON y.s = x.v JOIN counted z ON z.s = x.s AND z.v = y.v AND z.d = x.d + y.d WHERE x.s <> x.v AND y.v <> x.v AND y.v <> x.s GROUP BY 1
 )
-SELECT cik AS node, round(coalesce(b, 0), 6) AS betweenness FROM company LEFT JOIN told ON node = cik""",
+"""
+
+
+OPERATORS |= {
+    "rag03_page_text": r""", shown AS (SELECT page_id, regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', '<x>', 'g') AS h FROM pages), nodes AS (
+    SELECT page_id, list_transform(regexp_split_to_array(h, '(?s)<[^>]*>'), lambda t: replace(regexp_replace(replace(replace(replace(t, '&quot;', chr(34)), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;?', chr(1), 'g'), chr(1), '&')) AS ts FROM shown
+), lines AS (SELECT page_id, list_filter(list_transform(flatten(list_transform(ts, lambda t: string_split(t, chr(10)))), lambda l: regexp_replace(l, '^\s+|\s+$', '', 'g')), lambda l: l <> '') AS ls FROM nodes)
+SELECT page_id, CASE WHEN length(array_to_string(ls, chr(10))) >= 100 THEN array_to_string(ls, chr(10)) END AS text FROM lines""",
+    "ent03_candidates": _candidates(False),
+    "ent05_quoted_candidates": _candidates(True),
+    "txt10_industry_codes": """, c AS (SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN (c_custkey % 20)::VARCHAR WHEN 1 THEN (c_custkey * 7)::VARCHAR ELSE '' END AS d FROM customer)
+SELECT id, CASE WHEN length(d) >= 2 THEN lpad(left(d, 4), 4, '0') END AS sic, CASE WHEN length(d) >= 2 THEN lpad(left(d, 6), 6, '0') END AS naics FROM c""",
+    "gra04_betweenness": _BETWEEN + "SELECT cik AS node, round(coalesce(b, 0), 6) AS betweenness FROM company LEFT JOIN told ON node = cik",
+    "gra05_measures": _PAGERANK + _BETWEEN + f"""SELECT cik AS node, i.n AS in_degree, o.n AS out_degree, round(rank, 6) AS rank, round(coalesce(b, 0), 6) AS betweenness
+FROM company LEFT JOIN {_IN} i USING (cik) LEFT JOIN {_OUT} o USING (cik) JOIN pr ON pr.node = cik AND it = 20 LEFT JOIN told t ON t.node = cik""",
 }
 
 

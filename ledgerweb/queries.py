@@ -194,7 +194,7 @@ OPERATORS = {
     "gra03_degrees": lambda g: algorithms.degrees(g.edges("HAS_COMPETITOR"), _nodes(g)),
     "gra04_betweenness": lambda g: _rounded(algorithms.betweenness(_nodes(g), g.edges("HAS_COMPETITOR")), "betweenness"),
     "gra06_adoption": lambda g: adoption.adoption(g.uses),
-    "gra05_measures": lambda g: _rounded(analytics.competition_measures(_nodes(g), g.edges("HAS_COMPETITOR")), "rank", "betweenness"),
+    "gra05_measures": lambda g: _rounded(analytics.competition_measures(_nodes(g), g.edges("HAS_COMPETITOR"), False), "rank", "betweenness"),
     "joi16_typed_paths": typed_paths,
     "sim07_risk_pairs": lambda g: _rounded(catalogue.risk_pairs(g), "score"),
     "sim10_industry_pairs": lambda g: similarity.same_class_pairs(g.company, ["sic", "sector"]),
