@@ -12,6 +12,10 @@ Defined results
 * null or empty text: one piece that holds the end id alone
 * empty table: no rows
 * repeated rows: each is packed; equal rows are interchangeable
+* null ids: rows like others; they are told apart by their pieces' lengths and digests only
+* a very long text is cut into full pieces and a last one; every piece is placed by itself
+* ties: of pieces of one length any may take a place, and of equally good places the first is taken
+* columns beside doc_id and text are not looked at, whatever their names
 """
 
 from __future__ import annotations

@@ -19,6 +19,9 @@ Defined results
 * fewer than five words are one term
 * equal ids: in the order of their texts' hashes; a null id sorts first
 * one document alone is its own next document
+* a vote that ties leaves its bit 0
+* a very long text is fingerprinted whole, in one task
+* columns beside doc_id and text are not looked at, whatever their names
 * empty table: no rows
 """
 
