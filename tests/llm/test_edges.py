@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerweb.llm import langid, minhash, mixing, packing, quality, simhash, sstable
+from ledgerweb.llm import langid, mixing, packing, quality, simhash, sstable
 from ledgerweb.llm.common import cut
 from ledgerweb.llm.tokens import encoder
 
