@@ -55,6 +55,37 @@ def test_betweenness(edges, nodes):
     assert got == {1: 0.0, 2: 0.0, 3: 2.0, 4: 0.0, 5: 0.0, 6: 0.0, 7: 0.0}
 
 
+def test_betweenness_of_a_random_graph_by_hand_and_over_tasks(spark):
+    rng = np.random.default_rng(5)
+    pairs = sorted({(int(a), int(b)) for a, b in rng.integers(0, 40, (110, 2))})
+    follow = {}
+    for a, b in pairs:
+        follow.setdefault(a, []).append(b)
+    want = dict.fromkeys(range(42), 0.0)
+    for s in range(42):
+        far, ways, before, order = {s: 0}, {s: 1}, {}, [s]
+        for v in order:
+            for w in follow.get(v, ()):
+                if w not in far:
+                    far[w], ways[w] = far[v] + 1, 0
+                    order.append(w)
+                if far[w] == far[v] + 1:
+                    ways[w] += ways[v]
+                    before.setdefault(w, []).append(v)
+        owed = dict.fromkeys(order, 0.0)
+        for w in reversed(order[1:]):
+            for v in before[w]:
+                owed[v] += ways[v] / ways[w] * (1 + owed[w])
+            want[w] += owed[w]
+    e = spark.createDataFrame([(a * 10**10, b * 10**10) for a, b in pairs] + [(None, 0)], "src long, dst long")
+    out = algorithms.betweenness(spark.createDataFrame([(i * 10**10,) for i in range(42)], "node long"), e)
+    got = {r.node // 10**10: r.betweenness for r in out.collect()}
+    assert got == pytest.approx(want) and max(want.values()) > 10
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan  # the sources' tasks are not merged into one
+    assert algorithms.betweenness(spark.createDataFrame([(1,)], "node long"), e.limit(0)).first().betweenness == 0
+
+
 def test_betweenness_by_joins(spark, nodes, edges, monkeypatch):
     want = {r.node: round(r.betweenness, 9) for r in algorithms.betweenness(nodes, edges).collect()}
     monkeypatch.setattr(algorithms, "MOST_ADJACENCY", 0)
