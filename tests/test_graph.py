@@ -123,6 +123,36 @@ def test_similar_pairs_in_blocks(spark, monkeypatch):
     assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize("again", [[], [(3, 0, "x"), (8, 1, "y")]])
+def test_class_pairs_by_parts(spark, monkeypatch, again):
+    monkeypatch.setattr(similarity, "PART_ROWS", 4)
+    rows = [(i, None if i % 9 == 0 else i % 4 // 2, None if i % 7 == 0 else "xyz"[i % 3]) for i in range(60)] + again
+    c = spark.createDataFrame(rows, "cik long, sic long, sector string")
+    want = {}
+    for n, s, t in rows:
+        for m, u, v in rows:
+            if n < m and (s is not None and s == u or t is not None and t == v):
+                want[n, m] = min(want.get((n, m), "z"), "sector" if s is None or s != u else "sic", key=["sic", "sector", "z"].index)
+    out = similarity.same_class_pairs(c, ["sic", "sector"])
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(want) and {(a, b): m for a, b, m in got} == want
+    if not again:
+        assert "HashAggregate(keys=[a#" not in out._jdf.queryExecution().executedPlan().toString()  # pairs are not grouped
+
+
+def test_size_and_industry_pairs_by_parts(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "PART_ROWS", 3)
+    rows = [(i, None if i % 5 == 0 else 10.0 ** (i % 4 + 7), None if i % 5 == 0 else 10.0 ** (i % 3 + 8), i * 97 % 2000, ["", "a", "b", None][i % 4]) for i in range(40)]
+    c = spark.createDataFrame(rows, "cik long, revenue double, market_cap double, employees long, sector string")
+    level = lambda v, at: None if v is None else sum(v >= x for x in at)
+    sized = [(r[0], [level(r[1], similarity.MONEY_BUCKETS), level(r[2], similarity.MONEY_BUCKETS), level(r[3], similarity.STAFF_BUCKETS)]) for r in rows]
+    want = {(a, b, similarity.SIZE_METRICS[k], x[k]) for a, x in sized for b, y in sized if a < b for k in [next((k for k in range(3) if x[k] is not None and x[k] == y[k]), None)] if k is not None}
+    got = [tuple(r) for r in similarity.size_pairs(c).collect()]
+    assert len(got) == len(want) and set(got) == want
+    got = [(r.a, r.b, r.classification) for r in similarity.industry_pairs(c, "SECTOR").collect()]
+    assert sorted(got) == [(p[0], q[0], p[4]) for p in rows for q in rows if p[0] < q[0] and p[4] and p[4] == q[4]]
+
+
 def test_validation_and_cosine(spark):
     df = spark.createDataFrame([([1.0, 0.0],), ([float("nan"), 0.0],), ([float("inf"), 0.0],), ([1.0],), (None,), ([0.0, 0.0],)], "e array<double>")
     assert [r.v for r in df.select(similarity.valid_embedding(F.col("e"), 2).alias("v")).collect()] == [True, False, False, False, False, True]
