@@ -99,3 +99,21 @@ def test_candidates_keep_the_first_spelling(spark):
     rows = [(r.pattern, r.candidate) for r in text.candidates(df).collect()]
     assert ("capitalized", "IBM") in rows and ("ticker", "IBM") not in rows
     assert len({c.lower() for _, c in rows}) == len(rows)
+
+
+def test_grams_fold_a_name_once(spark):
+    """Not again for every gram: the folding stands in the expression once, and scores name each set of grams once."""
+    df = spark.createDataFrame([("Société Générale & Sons, Inc.", "societe"), (None, "x"), ("...", "x")], "v string, w string")
+    grams = df.select(text.char_ngrams(F.col("v")).alias("g"))
+    assert grams._jdf.queryExecution().analyzed().toString().count("translate(") == 1
+    both = df.select(text.ngram_similarity(text.char_ngrams(F.col("v")), text.char_ngrams(F.col("w"))).alias("s"))
+    assert both._jdf.queryExecution().analyzed().toString().count("translate(") == 2
+    whole, none, empty = (r.g for r in grams.collect())
+    c = "*societegeneralesons*"
+    assert none is None and empty == [] and set(whole) == {c[i : i + n] for n in range(2, 6) for i in range(len(c) - n + 1)} | {"*societe*", "*generale*", "*sons*"}
+    assert both.first().s == pytest.approx(len(set(whole) & {x for x in both_grams("societe")}) / len(set(whole) | both_grams("societe")))
+
+
+def both_grams(word):
+    c = f"*{word}*"
+    return {c[i : i + n] for n in range(2, 6) for i in range(len(c) - n + 1)} | {c}
