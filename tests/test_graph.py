@@ -176,6 +176,33 @@ def test_size_and_industry_pairs_by_parts(spark, monkeypatch):
     assert sorted(got) == [(p[0], q[0], p[4]) for p in rows for q in rows if p[0] < q[0] and p[4] and p[4] == q[4]]
 
 
+def test_best_sets_by_blocks_make_no_candidate_rows(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "SET_ROWS", 9)
+    rng = np.random.default_rng(6)
+    held = {i: set(map(int, rng.integers(0, 12, rng.integers(1, 6)))) for i in range(50)}
+    m = spark.createDataFrame([(n, str(x)) for n, s in held.items() for x in s], "n long, item string")
+    want = {}
+    for a, s in held.items():
+        scores = sorted((-round(len(s & t) / len(s | t), 9), b) for b, t in held.items() if b != a and len(s & t) / len(s | t) >= 0.2)
+        want[a] = [b for _, b in scores[:3]]
+    out = similarity.best_by_jaccard(m, "n", "item", 0.2, 3)
+    got = {}
+    for r in sorted(out.collect(), key=lambda r: (-round(r.score, 9), r.dst)):
+        got.setdefault(r.src, []).append(r.dst)
+    assert got == {a: b for a, b in want.items() if b}
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranked_names_meet_as_classes(spark):
+    m = spark.createDataFrame([("Alpha Inc.",), ("ALPHA",), ("Beta",), ("...",), (None,)], "mention string")
+    c = spark.createDataFrame([(i, ["Alpha Corp", "alpha", "Alphabet", "Betamax", "zzz"][i % 5]) for i in range(20)], "cik long, name string")
+    out = resolution.ranked_by_characters(m, c, 3)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.mention, []).append(r.cik)
+    assert {k: sorted(v) for k, v in got.items()} == {"Alpha Inc.": [0, 1, 5], "ALPHA": [0, 1, 5], "Beta": [3, 8, 13]}
+
+
 def test_validation_and_cosine(spark):
     df = spark.createDataFrame([([1.0, 0.0],), ([float("nan"), 0.0],), ([float("inf"), 0.0],), ([1.0],), (None,), ([0.0, 0.0],)], "e array<double>")
     assert [r.v for r in df.select(similarity.valid_embedding(F.col("e"), 2).alias("v")).collect()] == [True, False, False, False, False, True]
