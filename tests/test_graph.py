@@ -193,6 +193,21 @@ def test_best_sets_by_blocks_make_no_candidate_rows(spark, monkeypatch):
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_companies_of_alike_sets_are_those_of_alike_domains(spark):
+    rng = np.random.default_rng(8)
+    uses = spark.createDataFrame([(d, f"t{x}") for d in range(80) for x in sorted(set(map(int, rng.integers(0, 5, rng.integers(1, 5)))))], "domain long, technology string")
+    owns = spark.createDataFrame([(d % 11, d) for d in range(90)] + [(3, 5), (7, 5)], "src long, dst long")
+    want = similarity.via_domains(owns, similarity.set_jaccard_pairs(uses, "domain", "technology", 0.6), 0.6)
+    asked = []
+    matches = similarity.set_matches
+    similarity.set_matches = lambda a, b, *rest: asked.append(a.count()) or matches(a, b, *rest)
+    try:
+        got = similarity.via_alike_sets(owns, uses, "domain", "technology", 0.6)
+    finally:
+        similarity.set_matches = matches
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and asked[0] < 40  # sets, not domains
+
+
 def test_ranked_names_meet_as_classes(spark):
     m = spark.createDataFrame([("Alpha Inc.",), ("ALPHA",), ("Beta",), ("...",), (None,)], "mention string")
     c = spark.createDataFrame([(i, ["Alpha Corp", "alpha", "Alphabet", "Betamax", "zzz"][i % 5]) for i in range(20)], "cik long, name string")
