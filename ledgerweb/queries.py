@@ -32,7 +32,7 @@ CATALOGUE = {
     "qry05_shared_competitors": catalogue.shared_competitors,
     "qry06_competitors_with_evidence": catalogue.competitors_with_evidence,
     "qry07_competitors_of_competitors": catalogue.competitors_of_competitors,
-    "qry08_similar_descriptions": lambda g: catalogue.description_pairs(g).withColumn("score", F.round("score", 6)),
+    "qry08_similar_descriptions": lambda g: catalogue.description_pairs(g).withColumn("score", similarity.rounded("score")),
     "qry09_explainable_similarity": catalogue.explainable_similarity,
     "qry10_multi_dimensional_similarity": catalogue.multi_dimensional_similarity,
     "qry11_key_suppliers": catalogue.key_suppliers,
@@ -195,7 +195,7 @@ OPERATORS = {
     "gra06_adoption": lambda g: adoption.adoption(g.uses),
     "gra05_measures": lambda g: _rounded(analytics.competition_measures(_nodes(g), g.edges("HAS_COMPETITOR"), False), "rank", "betweenness"),
     "joi16_typed_paths": typed_paths,
-    "sim07_risk_pairs": lambda g: _rounded(catalogue.risk_pairs(g), "score"),
+    "sim07_risk_pairs": lambda g: catalogue.risk_pairs(g).withColumn("score", similarity.rounded("score")),
     "sim10_industry_pairs": lambda g: similarity.same_class_pairs(g.company, ["sic", "sector"]),
     "sim13_size_pairs": lambda g: similarity.size_pairs(g.company).select("a", "b", "method", F.col("bucket").cast("long").alias("bucket")),
     "sim14_technology_pairs": technology_pairs,

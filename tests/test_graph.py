@@ -208,6 +208,11 @@ def test_companies_of_alike_sets_are_those_of_alike_domains(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and asked[0] < 40  # sets, not domains
 
 
+def test_scores_of_nine_digits_are_rounded_as_doubles(spark):
+    df = spark.createDataFrame([(0.5047875,), (-0.5047875,), (0.25,), (0.1234567,), (None,)], "s double")
+    assert [r.r for r in df.select(similarity.rounded("s").alias("r")).collect()] == [0.504787, -0.504787, 0.25, 0.123457, None]
+
+
 def test_ranked_names_meet_as_classes(spark):
     m = spark.createDataFrame([("Alpha Inc.",), ("ALPHA",), ("Beta",), ("...",), (None,)], "mention string")
     c = spark.createDataFrame([(i, ["Alpha Corp", "alpha", "Alphabet", "Betamax", "zzz"][i % 5]) for i in range(20)], "cik long, name string")
