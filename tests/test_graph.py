@@ -6,7 +6,7 @@ from ledgerweb import queries
 from ledgerweb.functions import resolution
 from ledgerweb.graph import BusinessGraph, blank_to_null, duplicate_keys, undirected
 from ledgerweb.operators import algorithms, paths, similarity
-from ledgerweb.plans import retrieval
+from ledgerweb.plans import adoption, retrieval
 from ledgerweb.sources import observations
 
 
@@ -311,3 +311,49 @@ def test_adoption_of_every_technology_that_at_most_half_use(spark, sf):
     for t, rows in got.groupby("technology"):
         assert sorted(rows.score, reverse=True) == pytest.approx(want[t], abs=2e-6)
         assert rows.domain.is_unique and not any(t in of[d] for d in rows.domain)
+
+
+def test_adoption_shuffles_uses_not_domains_times_targets(spark, monkeypatch):
+    """Of 4,000 domains and 30 targets: ties, batches, blocks of ranks and owners, by brute force; and what was shuffled."""
+    r = np.random.default_rng(5)
+    holds = r.random((400, 30)) < 0.15
+    holds[:, 0] = True  # more than half use it
+    holds[:, 29] = False
+    holds[7, 29] = holds[0, 29] = True
+    holds[1] = False
+    holds[1, 28] = True  # one technology only
+    holds = np.tile(holds, (10, 1))
+    rows = [(int(d) * 3 - 50, f"t{t:02}") for d, t in np.argwhere(holds)]
+    uses = spark.createDataFrame(rows, "domain long, technology string").repartition(4)
+    co = holds.astype(float).T @ holds
+    np.fill_diagonal(co, 0)
+    share = co / np.maximum(co.sum(axis=1, keepdims=True), 1)
+    want, ranks = set(), []
+    for j in np.flatnonzero(holds.sum(axis=0) <= 0.5 * len(holds)):
+        rank = restart = 0.15 * np.eye(30)[j]
+        for _ in range(20):
+            rank = restart + 0.85 * rank @ share
+        ranks += [(f"t{j:02}", f"t{t:02}", float(x)) for t, x in enumerate(rank)]
+        score = np.floor((holds * rank).max(axis=1) * (1 + np.log(holds.sum(axis=1) + 1)) * 1e6 + 0.5) / 1e6
+        best = sorted((-score[d], int(d) * 3 - 50) for d in np.flatnonzero(~holds[:, j]))[:15]
+        want |= {(d, f"t{j:02}", -s) for s, d in best}
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled():
+        stages = store.stageList(None, False, False, getattr(store, "stageList$default$4")(), None)
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
+
+    before = shuffled()
+    got = adoption.adoption(uses, top_k=15).collect()
+    assert {tuple(x) for x in got} == want and len(got) == len(want) == 29 * 15
+    assert max(n for stage, n in shuffled().items() if stage not in before) <= len(rows)
+    monkeypatch.setattr(adoption, "RANKS_AT_ONCE", 100)  # blocks of a few targets, a few rows at once
+    given = spark.createDataFrame(ranks, "source string, technology string, rank double")
+    assert {(x.domain, x.source, x.score) for x in adoption.likeliest(uses, given, 30, 29, 15).collect()} == want
+
+
+def test_adoption_of_none(spark):
+    empty = spark.createDataFrame([], "domain string, technology string")
+    assert adoption.adoption(empty).collect() == []
+    uses = spark.createDataFrame([("b", "x"), ("a", "y"), (None, "y"), ("c", "z"), ("d", None)], "domain string, technology string")
+    assert {tuple(x) for x in adoption.adoption(uses, top_k=2).where("technology = 'x'").collect()} == {(None, "x", 0.0), ("a", "x", 0.0)}
