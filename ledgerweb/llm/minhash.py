@@ -198,6 +198,12 @@ def _meeting(table: pa.Table) -> pa.Table:
 
 def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node) of every row of ``docs`` and the links (a, b) between different nodes."""
+    rows, first, _, rest = _linked(docs)
+    return rows, first.unionByName(rest)
+
+
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(doc_id, node) of every row, links to leaders, their components, and links between those components."""
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     # a text is found again by its row's id and its own hash: many rows can share an id or have none
@@ -219,21 +225,23 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = cut(buckets.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("texts")).where("texts > 1"), "shared")
     members = cut(buckets.join(shared, "key"), "buckets")
     release(shared)
-    wanted = texts.join(members.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("wanted"), F.col("row.doc_id").alias("id"), F.col("row.h").alias("hash"))
+    wanted = texts.join(members.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("wanted"), F.col("row.doc_id").alias("id"), F.col("row.h").alias("hash"), "keys")
 
     def codes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for want, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for want, text, keys in zip(*(c.to_pylist() for c in b.columns)):
                 node, codes = kmers(text)
                 if node == want:
-                    out.append((node, len(codes), bit_signature(codes), codes.astype("<u8").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))], ["node", "n", "bits", "codes"])
+                    out.append((node, len(codes), keys, bit_signature(codes), codes.astype("<u8").tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["node", "n", "keys", "bits", "codes"])
 
-    found = source.join(wanted, source["doc_id"].eqNullSafe(wanted["id"]) & (source["h"] == wanted["hash"])).select("wanted", "text")
-    codes = found.mapInArrow(codes_of, "node long, n long, bits array<long>, codes binary")
-    codes = cut(codes.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("codes").alias("codes")), "kmers")
-    brief = codes.select("node", "n", *(F.col("bits")[i].alias(f"b{i}") for i in range(BITS // 64)))
+    found = source.join(wanted, source["doc_id"].eqNullSafe(wanted["id"]) & (source["h"] == wanted["hash"])).select("wanted", "text", "keys")
+    codes = found.mapInArrow(codes_of, "node long, n long, keys array<long>, bits array<long>, codes binary")
+    codes = cut(codes.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "keys", "bits", "codes"))), "kmers")
+    bits = [F.col("bits")[i].alias(f"b{i}") for i in range(BITS // 64)]
+    brief = codes.select("node", "n", *bits)
 
     apart = " + ".join(f"bit_count(x.b{i} ^ y.b{i})" for i in range(BITS // 64))
     alike = F.expr(f"x.n >= {SIMILARITY} * y.n AND y.n >= {SIMILARITY} * x.n AND {apart} <= {MAY_DIFFER}")
@@ -244,22 +252,18 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             good = [i for i in range(len(a)) if similarity(np.frombuffer(x[i], "<u8"), np.frombuffer(y[i], "<u8")) >= SIMILARITY]
             yield pa.RecordBatch.from_arrays([pa.array([v[i] for i in good], pa.int64()) for v in (a, z)], ["a", "b"])
 
-    def links(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, part, b) that are similar; at most about ``PART`` of them share a and part."""
-        pairs = cut(pairs, "pairs")
-        heads = pairs.select("a", "part").distinct().join(codes.select(F.col("node").alias("a"), F.col("codes").alias("x")), "a")
-        both = pairs.join(codes.select(F.col("node").alias("b"), F.col("codes").alias("y")), "b").join(heads, ["a", "part"])
-        out = cut(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "links")
-        release(pairs)
-        return out
+    def similar(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b, x) that are similar, x being the k-mers of a."""
+        both = pairs.join(codes.select(F.col("node").alias("b"), F.col("codes").alias("y")), "b")
+        return both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long").distinct()
 
+    # about ``PART`` texts share a leader and a part, so neither is a hot key
     to_leader = members.where("node != leader").groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.max("texts").alias("texts"))
-    to_leader = cut(to_leader.select("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("texts") / PART)).cast("int").alias("part"), "b"), "led")
-    heads = to_leader.select("a", "part").distinct().join(brief.withColumnRenamed("node", "a"), "a").alias("x")
+    to_leader = to_leader.select("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("texts") / PART)).cast("int").alias("part"), "b")
+    heads = to_leader.select("a", "part").distinct().join(codes.select(F.col("node").alias("a"), "n", "codes", *bits), "a").alias("x")
     first = to_leader.alias("p").join(brief.alias("y"), F.col("p.b") == F.col("y.node"))
     first = first.join(heads, (F.col("p.a") == F.col("x.a")) & (F.col("p.part") == F.col("x.part")) & alike)
-    linked = links(first.select("p.a", "p.part", "p.b"))
-    release(to_leader)
+    linked = cut(similar(first.select("p.a", "p.b", F.col("x.codes").alias("x"))), "links")
     component = connected_components(linked)
     placed = cut(members.join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "placed")
     split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size")
@@ -269,24 +273,30 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     few = open_members.where(F.col("size") <= SMALL)
     x, y = few.alias("x"), few.alias("y")
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & F.expr("x.component < y.component") & alike)
-    rest = links(rest.select(F.col("x.node").alias("a"), F.lit(0).alias("part"), F.col("y.node").alias("b")).distinct())
+    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    rest = similar(rest.join(codes.select(F.col("node").alias("a"), F.col("codes").alias("x")), "a"))
 
     # large buckets: every text goes to the meetings of its part with each part of the bucket
     many = open_members.where(F.col("size") > SMALL).select("key", "node", "component", F.ceil(F.col("size") / PART).cast("int").alias("parts"))
     many = many.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     many = many.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "node", "component")
-    full = codes.join(texts.select("node", "keys"), "node").select("node", "keys", "bits", "codes")
-    met = many.join(full, "node").groupBy("key", "lo", "hi").applyInArrow(_meeting, "a long, b long")
-    return rows.select("doc_id", "node"), linked.unionByName(rest).unionByName(cut(met, "links"))
+    met = many.join(codes.select("node", "keys", "bits", "codes"), "node").groupBy("key", "lo", "hi").applyInArrow(_meeting, "a long, b long")
+    rest = cut(rest.unionByName(met), "links")
+    release(open_members, codes)
+    return rows.select("doc_id", "node"), linked, component, rest
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, kept of every document."""
-    rows, links = near_links(docs)
-    component = connected_components(links)
+    rows, _, component, rest = _linked(docs)
+    # the other links lie between components: only those that they join are looked at again
+    for end in ("a", "b"):
+        rest = rest.join(component.select(F.col("node").alias(end), "component"), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    joined = connected_components(cut(rest, "edges")).select(F.col("node").alias("c"), F.col("component").alias("top"))
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(component, "node", "left")
-    nodes = cut(nodes.select("node", "least", "component"), "named")
+    nodes = nodes.withColumn("c", F.coalesce("component", "node")).join(joined, "c", "left")
+    nodes = cut(nodes.select("node", "least", F.coalesce("top", "component").alias("component")), "named")
     # written, so that the joins with these are ones whose hot components and texts can be split
     classes = cut(nodes.where("component is not null").groupBy("component").agg(F.min("least").alias("class_id")), "classes")
     named = cut(nodes.join(classes, "component", "left").select("node", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("class_id")).alias("class_id")), "classes")

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerweb.llm import langid, minhash, quality, simhash, substring
+from ledgerweb.llm import components, langid, minhash, quality, simhash, substring
+from ledgerweb.llm.common import cut
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -255,6 +256,32 @@ def test_a_very_long_text_and_its_near_copy(spark):
     assert {r.doc_id: r.class_id for r in minhash.near_duplicates(rows).collect()} == {1: 1, 2: 1, 3: 3}
 
 
+def test_few_files_between_the_steps(spark, monkeypatch):
+    """Each file costs a task and, in a local folder, child processes of the executor: no table of unverified pairs, no copy of links."""
+    written = Counter()
+
+    def counted(df, name):
+        out = cut(df, name)
+        written[name] += len(out.inputFiles())
+        return out
+
+    for module in (minhash, components):
+        monkeypatch.setattr(module, "cut", counted)
+    monkeypatch.setattr(minhash, "SMALL", 3)
+    texts = families() + [" ".join(prose(f, 40)) for f in range(40)]
+    held = {"spark.sql.shuffle.partitions": "11", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs(spark, texts)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [got[i] for i in range(len(texts))] == classes_by_hand(texts)
+    assert not {"pairs", "led"} & set(written) and written.total() <= 140
+
+
 # quality
 
 
